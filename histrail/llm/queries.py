@@ -6,12 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from ..tables import load
-from . import mojibake, packing, tokens
+from ..tables import load, same_id
+from . import mojibake, packing, pii, tokens
 
 CAPACITY = 2048
 
 
+#: Where free text stands: the table and its column.
+FREE_TEXT = {"variable_detail_history": "variable_value_text", "process_instance_history": "delete_reason"}
+
+
+def p4_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record's text with typed placeholders, and the types found in it."""
+    parts = []
+    for table, column in FREE_TEXT.items():
+        t = load(spark, sf_dir, table).select(same_id("id").alias("record_id"), F.col(column).alias("text")).filter(F.col("text").isNotNull())
+        parts.append(pii.redact(t, "record_id", "text").withColumn("source_table", F.lit(table)))
+    return parts[0].unionByName(parts[1])
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = p4_redacted(spark, sf_dir)
+    return found.select("source_table", "record_id", F.explode("pii_types").alias("pii_type")).distinct()
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(load(spark, sf_dir, "documents"), "doc_id", "text", tokens.tokenizer_path())
 
@@ -56,6 +74,6 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_bins_of_three_sizes": p9_bins_of_three_sizes, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored,
+    "p4_found": p4_found, "p4_redacted": p4_redacted, "p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p9_bins": p9_bins, "p9_bins_of_three_sizes": p9_bins_of_three_sizes, "p9_report": p9_report, "p10_found": p10_found, "p10_restored": p10_restored,
 }
 ORACLE: dict[str, str] = {}
