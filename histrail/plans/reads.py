@@ -9,7 +9,7 @@ from ..functions import scalar as S
 from ..operators import blobs
 from ..operators.query_api import HistoryReads, Page
 from ..tables import latest, load, same_id
-from .quality import _AI, _PI, _id, current_activities, current_instances
+from .quality import _PI, _id, current_activities, current_instances
 
 #: The queries' own bounds: a definition key that occurs at every size, and a start.
 DEFINITION, AFTER, BEFORE = "payment-settlement", "2025-03-01 00:00:00", "2025-12-01 00:00:00"
