@@ -36,7 +36,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 def _chunk_shape(chunk: str) -> str:
     """The shape of a run without blanks: the length of each number, one sign for each word, the other signs as they are."""
     out = re.sub(r"\d+", lambda m: str(min(len(m.group()), 9)), chunk.strip(".,;:()<>\"'{}"))
-    return _LETTERS.sub(lambda m: "A" if m.group()[0].isupper() else "a", out)[:16]
+    return _LETTERS.sub(lambda m: "A" if m.group()[0].isupper() else "a", out)[:16].replace("\0", "")
 
 
 def tokenize(text: str) -> tuple[list[str], list[tuple[int, int]]]:
@@ -85,7 +85,7 @@ def _row(feature: str, rows: int) -> int:
 @lru_cache(maxsize=200_000)
 def word_features(marked: str) -> tuple[tuple[int, ...], int, int]:
     """The rows of a word's features, and hashes of its shape and of the word for the pair features."""
-    word, _, run = marked.partition("\0")
+    word, _, run = marked.rpartition("\0")
     gap, word = word[0], word[1:41]
     shape, low = _shape(word), word.lower()
     known = shape if word.isdigit() else low
