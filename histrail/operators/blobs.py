@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalar as S
 
@@ -44,19 +43,14 @@ def fold_counts(deltas: DataFrame, key: str, order: str, delta: str = "delta") -
 def fold_by_steps(deltas: DataFrame, key: str, order: str, delta: str = "delta") -> DataFrame:
     """The fold step by step, to check :func:`fold_counts` with on small logs."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            f = f.sort_values(order)
-            count, out = 0, []
-            for d in f[delta]:
-                count = max(0, count + int(d))
-                out.append(count)
-            yield f.assign(ref_count_after=out)
-
     def one(f: pd.DataFrame) -> pd.DataFrame:
-        return next(run(iter([f])))
+        f, count, out = f.sort_values(order), 0, []
+        for d in f[delta]:
+            count = max(0, count + int(d))
+            out.append(count)
+        return f.assign(ref_count_after=out)
 
-    return deltas.groupBy(key).applyInPandas(one, deltas.schema.add("ref_count_after", "long"))
+    return deltas.groupBy(key).applyInPandas(one, T.StructType([*deltas.schema.fields, T.StructField("ref_count_after", T.LongType())]))
 
 
 def candidates(variables: DataFrame, blobs: DataFrame, threshold: int, types: tuple[str, ...], limit: int | None = None) -> DataFrame:

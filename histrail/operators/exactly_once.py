@@ -57,7 +57,7 @@ def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.concat_tables(parts).combine_chunks().to_batches()
 
 
-def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState, keep_ms: int) -> Iterator[pd.DataFrame]:
     """A bucket's state holds, for each identifier seen, its 128-bit hash and the lowest arrival number so far, as arrays.
 
     Whatever the order of arrival, every copy but the lowest is put out as surplus exactly once: a copy that is not lower at
@@ -67,7 +67,7 @@ def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupSta
     old = dict(zip(_STATE_COLUMNS, (np.frombuffer(b, dtype=np.int64) for b in state.get), strict=True)) if state.exists else {c: np.zeros(0, np.int64) for c in _STATE_COLUMNS}
 
     def store(h1: np.ndarray, h2: np.ndarray, first: np.ndarray, seen: np.ndarray) -> None:
-        live = seen + KEEP_STATE_MS >= watermark
+        live = seen + keep_ms >= watermark
         if live.any():
             state.update(tuple(np.ascontiguousarray(x[live]).tobytes() for x in (h1, h2, first, seen)))
             state.setTimeoutDuration(3_600_000)
@@ -100,7 +100,7 @@ def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupSta
     verdict[~head] = "surplus"
     lead = head & fresh
     # nothing known: new, unless its time lies so far back that the state of an earlier copy may be gone
-    verdict[lead] = np.where(known[group[lead]], "lowered", np.where(newest[group[lead]] + KEEP_STATE_MS < watermark, "late", "kept"))
+    verdict[lead] = np.where(known[group[lead]], "lowered", np.where(newest[group[lead]] + keep_ms < watermark, "late", "kept"))
     out = np.flatnonzero(verdict != "")
     # a displaced row of the state has its names from the row that leads its group, which is new
     source_row = np.where(fresh[out], order[out], order[starts[group[out]]]) - n_old
@@ -108,7 +108,7 @@ def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupSta
     yield pd.DataFrame({"source": new["source"].to_numpy()[source_row], "message_id": new["message_id"].to_numpy()[source_row], "arrival_no": arrival[out], "verdict": verdict[out], "seen_ms": newest[group[out]]})
 
 
-def judged(messages: DataFrame, buckets: int) -> DataFrame:
+def judged(messages: DataFrame, buckets: int, keep_ms: int = KEEP_STATE_MS) -> DataFrame:
     """The stateful part of a streaming ``messages`` (columns of ``MESSAGE``): one row a verdict.
 
     Expiry goes by the event-time watermark, but is looked at when a bucket is touched or on a timer: rows behind the
@@ -119,7 +119,11 @@ def judged(messages: DataFrame, buckets: int) -> DataFrame:
     h1, h2 = F.xxhash64("source", "message_id"), F.xxhash64("message_id", F.lit(1), "source")
     hashed = messages.select(F.pmod(h1, F.lit(buckets)).cast("int").alias("bucket"), h1.alias("h1"), h2.alias("h2"), *names)
     thin = hashed.mapInArrow(_thin, _LOCAL).withWatermark("seen_at", "1 hour")
-    return thin.groupBy("bucket").applyInPandasWithState(_judge, _OUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+    def judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        yield from _judge(key, frames, state, keep_ms)
+
+    return thin.groupBy("bucket").applyInPandasWithState(judge, _OUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 class _Sink:
@@ -186,7 +190,7 @@ def _settings(spark: SparkSession, wanted: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def run_dedup(messages: DataFrame, root: str, buckets: int) -> None:
+def run_dedup(messages: DataFrame, root: str, buckets: int, keep_ms: int = KEEP_STATE_MS) -> None:
     """Run the stream ``messages`` (columns of ``MESSAGE``) to its present end, with state, checkpoint and output under ``root``.
 
     A second call with the same root goes on where the first ended, and takes in only new files; ``buckets`` must stay as
@@ -203,5 +207,5 @@ def run_dedup(messages: DataFrame, root: str, buckets: int) -> None:
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }
     with _settings(spark, wanted):
-        query = judged(messages, buckets).writeStream.foreachBatch(_Sink(root)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+        query = judged(messages, buckets, keep_ms).writeStream.foreachBatch(_Sink(root)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()

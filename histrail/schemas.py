@@ -38,6 +38,11 @@ class HistoryClass:
         instance = "process_instance_id string, " if self.own_instance and self.key != "process_instance_id" else ""
         return T._parse_datatype_string(f"id string, engine_id string, {self.key} string, {instance}{self.fields}, {_ENTITY_TAIL}")
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """With the month that the dataset is partitioned by."""
+        return T.StructType([*self.schema.fields, T.StructField("month", T.StringType())])
+
     @property
     def critical(self) -> bool:
         return self.name in AUDIT_CRITICAL
@@ -121,6 +126,12 @@ def create_empty(spark: SparkSession, root: str) -> list[str]:
     for c in CLASSES.values():
         path, fs = hadoop_path(spark, f"{root}/{c.table}")
         if not fs.exists(path):
-            spark.createDataFrame([], c.schema.add("month", "string")).write.partitionBy("month").parquet(f"{root}/{c.table}")
+            spark.createDataFrame([], c.stored_schema).write.partitionBy("month").parquet(f"{root}/{c.table}")
             made.append(c.table)
     return made
+
+
+def open_table(spark: SparkSession, root: str, history_class: str):
+    """The dataset of a class; its schema is given, so an empty one can be read too."""
+    c = CLASSES[history_class]
+    return spark.read.schema(c.stored_schema).parquet(f"{root}/{c.table}")
