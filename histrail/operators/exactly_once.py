@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..session import hadoop_path
+from ..session import hadoop_path, shuffle_width
 
 #: An identifier's state expires once the event-time watermark is this far past its last copy: 30 days.
 KEEP_STATE_MS = 30 * 86_400_000
@@ -23,6 +23,9 @@ PASS_SALTS = 64
 #: Identifiers in one bucket of the state, about: the unit that is read and written as a whole.
 IDS_PER_BUCKET = 2_000
 
+#: Buckets in one state store, about.
+BUCKETS_PER_STORE = 32
+
 MESSAGE = "source string, message_id string, arrival_no long, seen_at timestamp"
 _HASHED = "bucket int, h1 long, h2 long"
 _LOCAL = f"{_HASHED}, {MESSAGE}, surplus array<long>"
@@ -204,7 +207,12 @@ def run_dedup(messages: DataFrame, root: str, buckets: int, keep_ms: int = KEEP_
     spark = messages.sparkSession
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        # all stores of an executor share one bound of native memory, and only changes are uploaded
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        # a store for every few buckets; the number is fixed by the first run of a checkpoint
+        "spark.sql.shuffle.partitions": str(max(1, min(shuffle_width(spark), max(spark.sparkContext.defaultParallelism, -(-buckets // BUCKETS_PER_STORE))))),
     }
     with _settings(spark, wanted):
         query = judged(messages, buckets, keep_ms).writeStream.foreachBatch(_Sink(root)).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
