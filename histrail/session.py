@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,22 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the program was started: once an application, as a small archive."""
+    if spark.sparkContext.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="histrail-ship-")) / "histrail.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
