@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import log2
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, spread
 
 #: A pair is kept in the model when it makes up at least this share of all pairs, so there are at most 2,000,000 of them.
 LEAST_SHARE = 5e-7
@@ -84,9 +86,10 @@ def _as_utf8(piece: str, encoding: str) -> str:
 
 
 def _as_bytes(piece: str, table: dict[int, str]) -> str | None:
-    """Exchange every non-ASCII character for the one its byte means in another encoding; None if one has no byte."""
-    new = "".join(c if c < "\x80" else table.get(ord(c), "\0") for c in piece)
-    return None if "\0" in new or all(a == b or a in ODD_SPACE for a, b in zip(piece, new, strict=True)) else new
+    """Exchange every non-ASCII character for the one its byte means in another encoding; None if one has no byte. Odd white
+    space stays: text of any encoding holds it, and it is no part of a word."""
+    new = "".join(c if c < "\x80" or c in ODD_SPACE else table.get(ord(c), "\0") for c in piece)
+    return None if "\0" in new or new == piece else new
 
 
 @dataclass
@@ -214,7 +217,7 @@ class Restorer:
             if depth == 0 and best is None:
                 for table in _EXCHANGE.values():
                     new = _as_bytes(piece, table)
-                    if new is None or new in seen or any("\x80" <= c <= "\xa0" for c in new):
+                    if new is None or new in seen or any("\x80" <= c < "\xa0" for c in new):
                         continue
                     seen.add(new)
                     gain = bits(new) - now
@@ -253,18 +256,34 @@ def pair_model(df: DataFrame, text: str) -> PairModel:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [pair_codes(f" {t} ") for t in batch.column(0).to_pylist() if t]
-            if parts:
-                codes, counts = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], names=["pair", "n"])
-
-    counted = materialise(df.select(text).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
+            parts, size = [], 0
+            for t in [*batch.column(0).to_pylist(), None]:
+                if t:
+                    parts.append(pair_codes(f" {t} "))
+                    size += len(t)
+                if parts and (size > 4_000_000 or t is None):  # long texts are counted in several goes
+                    codes, counts = np.unique(np.concatenate(parts), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(counts.astype(np.int64))], names=["pair", "n"])
+                    parts, size = [], 0
+
+    counted = materialise(spread(df.select(text)).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
     # a pair below the least share can't be told from noise
     whole = counted.agg(F.sum("n")).first()[0] or 0
     kept = counted.filter(F.col("n") >= max(1.0, whole * LEAST_SHARE)).toArrow().sort_by("pair")
     return PairModel(kept.column("pair").to_numpy().astype(np.int64), kept.column("n").to_numpy().astype(np.float64))
 
 
+_restorers: dict[str, Restorer] = {}
+
+
+def restorer_for(name: str, model: Broadcast) -> Restorer:
+    """A worker that runs several tasks keeps what it has tested."""
+    if name not in _restorers:
+        _restorers.clear()
+        _restorers[name] = Restorer(PairModel(*model.value))
+    return _restorers[name]
+
+
 def restore(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key, wrongly_decoded, restored, n_pieces`` for every row of ``df``.
 
@@ -278,14 +297,14 @@ def restore(df: DataFrame, key: str, text: str) -> DataFrame:
     space, zero-width characters, soft hyphen) is no case. Texts of any length are handled whole. An empty table gives no rows.
     """
     model = pair_model(df, text)
-    shared = df.sparkSession.sparkContext.broadcast((model.codes, model.counts))
+    shared, name = df.sparkSession.sparkContext.broadcast((model.codes, model.counts)), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fix = Restorer(PairModel(*shared.value))
+        fix = restorer_for(name, shared)
         for batch in batches:
             done = [fix.text(t) for t in batch.column(1).to_pylist()]
             found, new, hits = zip(*done, strict=True) if done else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.bool_()), pa.array(new, pa.string()), pa.array(hits, pa.int32())], names=[key, "wrongly_decoded", "restored", "n_pieces"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, wrongly_decoded boolean, restored string, n_pieces int")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, wrongly_decoded boolean, restored string, n_pieces int")

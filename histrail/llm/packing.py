@@ -135,22 +135,17 @@ def pack(items: DataFrame, key: str, size: str, capacities: Sequence[int]) -> Da
     pieces = materialise(pieces, "pieces")
     parts = max(1, -(-pieces.count() // ITEMS_PER_PART))
     pieces = pieces.withColumn("__part", F.pmod(F.xxhash64("__row"), F.lit(parts)).cast("int"))
-    # at most capacity x parts rows
-    counts = pieces.groupBy("__s", "__part").count().orderBy("__s", "__part").collect()
-    histogram: dict[int, int] = defaultdict(int)
-    offsets = []
-    for s, part, n in counts:
-        offsets.append((s, part, histogram[s]))
-        histogram[s] += n
+    counts = materialise(pieces.groupBy("__s", "__part").agg(F.count(F.lit(1)).alias("__m")), "piece-counts")
+    # one row a size comes to the driver; what lies before each part of a size is worked out over the cluster
+    histogram = {s: n for s, n in counts.groupBy("__s").agg(F.sum("__m")).collect()}
     plan = Plan(histogram, capacities)
     shared = spark.sparkContext.broadcast(plan.slots())
     first = plan.sizes[0] if plan.sizes else min(capacities)
+    earlier = Window.partitionBy("__s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("__s", "__part", F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__before"))
 
-    # the numbers before each part go with the rows by a join whose small side has one row for each size and part
-    table = spark.createDataFrame(offsets or [], "__s int, __part int, __before long")
     numbered = pieces.withColumn("__r", F.row_number().over(Window.partitionBy("__s", "__part").orderBy("__row")).cast("long"))
-    numbered = numbered.join(F.broadcast(table) if len(offsets) <= 100_000 else table, ["__s", "__part"])
-    ranked = numbered.select("__key", "__piece", "__s", (F.col("__r") - 1 + F.col("__before")).alias("__rank"))
+    ranked = numbered.join(before, ["__s", "__part"]).select("__key", "__piece", "__s", (F.col("__r") - 1 + F.col("__before")).alias("__rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = shared.value

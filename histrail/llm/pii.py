@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from zlib import crc32
@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import spread
 from .pii_labels import TYPES, labelled_table
 
 #: Rows of the labelled table that the model is trained on, and passes over it.
@@ -371,6 +372,19 @@ def replace(text: str, spans: Sequence[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
+def _groups(texts: Iterable[str], most_chars: int = 400_000) -> Iterator[list[str]]:
+    """Texts that are labelled together: of bounded length in all, so that long ones don't pile up in memory."""
+    group, size = [], 0
+    for t in texts:
+        if group and size + len(t) > most_chars:
+            yield group
+            group, size = [], 0
+        group.append(t)
+        size += len(t)
+    if group:
+        yield group
+
+
 def redact(df: DataFrame, key: str, text: str, model: Model | None = None) -> DataFrame:
     """``key, pii_types, redacted``: the types found in each row's text (sorted, without repeats) and the text with typed
     placeholders in their place, otherwise unchanged.
@@ -384,14 +398,13 @@ def redact(df: DataFrame, key: str, text: str, model: Model | None = None) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crf = Model(*shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4_000):
-                part = batch.slice(lo, 4_000)
-                texts = part.column(1).to_pylist()
-                different = list(dict.fromkeys(t for t in texts if t))
-                found = dict(zip(different, find_spans(different, crf), strict=True))
-                types = [sorted({TYPES[k] for _, _, k in found.get(t, ())}) for t in texts]
-                new = [replace(t, found[t]) if t else t for t in texts]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(types, pa.list_(pa.string())), pa.array(new, pa.string())], names=[key, "pii_types", "redacted"])
+            texts = batch.column(1).to_pylist()
+            found: dict[str, list[tuple[int, int, str]]] = {}
+            for group in _groups(dict.fromkeys(t for t in texts if t)):
+                found.update(zip(group, find_spans(group, crf), strict=True))
+            types = [sorted({TYPES[k] for _, _, k in found.get(t, ())}) for t in texts]
+            new = [replace(t, found[t]) if t else t for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(types, pa.list_(pa.string())), pa.array(new, pa.string())], names=[key, "pii_types", "redacted"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, pii_types array<string>, redacted string")
+    return spread(df.select(key, text)).mapInArrow(run, f"`{key}` {kind}, pii_types array<string>, redacted string")

@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import spread
+
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -69,7 +71,7 @@ def encode(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
             ids = [e.ids for group in _batches(batch.column(1).to_pylist()) for e in tok.encode_batch(group, add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids, pa.int32())], names=[key, "ids"])
 
-    return df.select(key, text).mapInArrow(run, f"{_key(df, key)}, ids array<int>")
+    return spread(df.select(key, text)).mapInArrow(run, f"{_key(df, key)}, ids array<int>")
 
 
 def encode_with_offsets(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
@@ -84,7 +86,7 @@ def encode_with_offsets(df: DataFrame, key: str, text: str, tokenizer: str) -> D
             arrays = [_lists([e.ids for e in done], pa.int32()), _lists([[a for a, _ in s] for s in spans], pa.int32()), _lists([[b for _, b in s] for s in spans], pa.int32())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=[key, "ids", "starts", "ends"])
 
-    return df.select(key, text).mapInArrow(run, f"{_key(df, key)}, ids array<int>, starts array<int>, ends array<int>")
+    return spread(df.select(key, text)).mapInArrow(run, f"{_key(df, key)}, ids array<int>, starts array<int>, ends array<int>")
 
 
 def count_tokens(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
@@ -96,7 +98,7 @@ def count_tokens(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFram
             n = [len(e.ids) for group in _batches(batch.column(1).to_pylist()) for e in tok.encode_batch(group, add_special_tokens=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=[key, "n_tokens"])
 
-    return df.select(key, text).mapInArrow(run, f"{_key(df, key)}, n_tokens long")
+    return spread(df.select(key, text)).mapInArrow(run, f"{_key(df, key)}, n_tokens long")
 
 
 def byte_table() -> dict[str, int]:
@@ -132,4 +134,4 @@ def decode(df: DataFrame, key: str, ids: str, tokenizer: str) -> DataFrame:
             texts = [decode_ids(x, vocabulary) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
 
-    return df.select(key, ids).mapInArrow(run, f"{_key(df, key)}, text string")
+    return spread(df.select(key, ids)).mapInArrow(run, f"{_key(df, key)}, text string")
