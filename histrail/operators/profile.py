@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Columns of a fetch-and-lock predicate; an update that names at least two of them is one.
-LOCK_COLUMNS = ("worker_id_", "lock_exp_time_", "retries_", "suspension_state_")
+# The table of external tasks, and the columns of its fetch predicate; a statement that names at least two of
+# them polls (a select) or fetches and locks (an update).
+TASK_TABLE = "act_ru_ext_task"
+LOCK_COLUMNS = ("lock_exp_time_", "suspension_state_", "retries_", "topic_name_")
 
 
 def statements_like(stats: DataFrame, pattern: str) -> DataFrame:
@@ -17,9 +19,10 @@ def statements_like(stats: DataFrame, pattern: str) -> DataFrame:
 
 
 def statement_kind(query: Column) -> Column:
+    """INSERT, DELETE, POLL or FETCH_LOCK for statements on the task table; anything else is OTHER."""
     q = F.lower(F.trim(query))
     locks = sum((F.when(q.contains(c), 1).otherwise(0) for c in LOCK_COLUMNS), F.lit(0))
-    return F.when(q.startswith("insert"), "INSERT").when(q.startswith("delete"), "DELETE").when(q.startswith("select") & (locks >= 2), "POLL").when(q.startswith("update") & (locks >= 2), "FETCH_LOCK").otherwise("OTHER")
+    return F.when(F.coalesce(~q.contains(TASK_TABLE), F.lit(True)), "OTHER").when(q.startswith("insert"), "INSERT").when(q.startswith("delete"), "DELETE").when(q.startswith("select") & (locks >= 2), "POLL").when(q.startswith("update") & (locks >= 2), "FETCH_LOCK").otherwise("OTHER")
 
 
 def profile(stats: DataFrame) -> DataFrame:

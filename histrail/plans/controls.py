@@ -244,7 +244,7 @@ def h6_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events")
     n = F.col("event_id") % 6
-    text = F.when(n == 0, "INSERT INTO ACT_HI_ACTINST VALUES ($1)").when(n == 1, "insert into outbox values ($1)").when(n == 2, "DELETE FROM outbox WHERE id_ = $1").when(n == 3, "select * from act_ru_ext_task where WORKER_ID_ = $1 and LOCK_EXP_TIME_ < $2").when(n == 4, "update act_ru_ext_task set worker_id_ = $1, lock_exp_time_ = $2").otherwise("UPDATE act_hi_procinst SET state_ = $1")
+    text = F.when(n == 0, "INSERT INTO ACT_HI_ACTINST VALUES ($1)").when(n == 1, "insert into ACT_RU_EXT_TASK values ($1)").when(n == 2, "DELETE FROM act_ru_ext_task WHERE id_ = $1").when(n == 3, "select * from act_ru_ext_task where TOPIC_NAME_ = $1 and LOCK_EXP_TIME_ < $2").when(n == 4, "update act_ru_ext_task set retries_ = $1, lock_exp_time_ = $2").otherwise("UPDATE act_hi_procinst SET state_ = $1")
     return e.select(F.col("event_id").alias("query_id"), text.alias("query"), (F.col("event_id") % 10).alias("calls"))
 
 
@@ -332,8 +332,8 @@ z AS (SELECT *, sum(CASE WHEN clean THEN 0 ELSE 1 END) OVER (PARTITION BY unit O
 _PAY = f"p AS (SELECT {_id('id')} AS id, any_value(payload_bytes) AS bytes, any_value(content_hash) AS h FROM projection_large_payload GROUP BY 1)"
 _TASKS = f"{_ACT}, t AS (SELECT aid, r.k AS topic, CASE WHEN r.q % 4 <> 0 THEN r.pid END AS bk, CASE WHEN r.q % 3 <> 0 THEN r.e END AS lock, CAST(r.q % 5 AS INTEGER) AS retries, r.q % 7 = 0 AS susp FROM a WHERE r.t = 'externalTask' AND r.d IS NULL)"
 _REPLY = """r AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'BPMN_ERROR' WHEN 'view' THEN ' SUCCESS ' WHEN 'click' THEN 'TRANSIENT' ELSE 'success' END AS t, event_id % 41 = 0 AS broken, CASE WHEN event_id % 2 = 0 THEN event_id % 5 END AS n FROM events)"""
-_STAT = """st AS (SELECT event_id AS query_id, event_id % 10 AS calls, CASE event_id % 6 WHEN 0 THEN 'INSERT INTO ACT_HI_ACTINST VALUES ($1)' WHEN 1 THEN 'insert into outbox values ($1)' WHEN 2 THEN 'DELETE FROM outbox WHERE id_ = $1'
- WHEN 3 THEN 'select * from act_ru_ext_task where WORKER_ID_ = $1 and LOCK_EXP_TIME_ < $2' WHEN 4 THEN 'update act_ru_ext_task set worker_id_ = $1, lock_exp_time_ = $2' ELSE 'UPDATE act_hi_procinst SET state_ = $1' END AS query, event_id % 6 AS k FROM events)"""
+_STAT = """st AS (SELECT event_id AS query_id, event_id % 10 AS calls, CASE event_id % 6 WHEN 0 THEN 'INSERT INTO ACT_HI_ACTINST VALUES ($1)' WHEN 1 THEN 'insert into ACT_RU_EXT_TASK values ($1)' WHEN 2 THEN 'DELETE FROM act_ru_ext_task WHERE id_ = $1'
+ WHEN 3 THEN 'select * from act_ru_ext_task where TOPIC_NAME_ = $1 and LOCK_EXP_TIME_ < $2' WHEN 4 THEN 'update act_ru_ext_task set retries_ = $1, lock_exp_time_ = $2' ELSE 'UPDATE act_hi_procinst SET state_ = $1' END AS query, event_id % 6 AS k FROM events)"""
 _DEAD = f"d AS (SELECT CASE arrival_no % 3 WHEN 0 THEN 'jobs.' WHEN 1 THEN 'in.' ELSE 'else.' END || message_type AS original_subject, {_id('id')} AS id FROM outbound_message_outbox)"
 
 ORACLE = {
@@ -374,7 +374,7 @@ ORACLE = {
     "h5_incidents": f"WITH {_DEAD} SELECT id AS task_id, 'BUDGET' AS reason, 0 AS retries, count(*) AS n FROM d WHERE starts_with(original_subject, 'jobs.') GROUP BY 1",
     "h6_failures": f"""WITH {_DEAD}, c AS (SELECT original_subject, CASE WHEN original_subject IN ('in.payment.requested', 'in.notice.sent', 'in.claim.accepted') THEN 'channel-' || substr(original_subject, 4) END AS channel FROM d WHERE NOT starts_with(original_subject, 'jobs.'))
  SELECT original_subject, channel, CASE WHEN channel IS NULL THEN 'NAK' ELSE 'EMIT' END AS action, count(*) AS n FROM c GROUP BY 1, 2, 3""",
-    "a8_profile": f"WITH {_STAT} SELECT CAST(sum(CASE WHEN k IN (0, 1) THEN calls ELSE 0 END) AS BIGINT) AS insert, CAST(sum(CASE WHEN k = 2 THEN calls ELSE 0 END) AS BIGINT) AS delete, CAST(sum(CASE WHEN k = 3 THEN calls ELSE 0 END) AS BIGINT) AS poll, CAST(sum(CASE WHEN k = 4 THEN calls ELSE 0 END) AS BIGINT) AS fetch_lock, CAST(sum(CASE WHEN k = 5 THEN calls ELSE 0 END) AS BIGINT) AS other FROM st",
+    "a8_profile": f"WITH {_STAT} SELECT CAST(sum(CASE WHEN k = 1 THEN calls ELSE 0 END) AS BIGINT) AS insert, CAST(sum(CASE WHEN k = 2 THEN calls ELSE 0 END) AS BIGINT) AS delete, CAST(sum(CASE WHEN k = 3 THEN calls ELSE 0 END) AS BIGINT) AS poll, CAST(sum(CASE WHEN k = 4 THEN calls ELSE 0 END) AS BIGINT) AS fetch_lock, CAST(sum(CASE WHEN k IN (0, 5) THEN calls ELSE 0 END) AS BIGINT) AS other FROM st",
     "a9_engine_writes": f"WITH {_STAT} SELECT CAST(sum(calls) AS BIGINT) AS write_ops FROM st WHERE k IN (0, 5)",
     "s13_statements": f"WITH {_STAT} SELECT query_id, query, calls FROM st WHERE query ILIKE '%ACT_HI%'",
     "a10_stored_share": f"""WITH {_PAY}, l AS (SELECT engine_id, {_id("variable_id")} AS v, arg_max({_id("payload_id")}, updated_at) AS pid FROM runtime_large_variable_ref GROUP BY 1, 2), u AS (SELECT h, octet_length(bytes) AS n FROM l JOIN p ON l.pid = p.id),

@@ -78,12 +78,12 @@ RENAMED = {
 }
 #: Columns that are nulled when a subject is erased, by class.
 ERASED_COLUMNS = {
-    "PROCINST": ("start_user_id", "business_key"),
+    "PROCINST": ("business_key", "start_user_id"),
     "ACTINST": ("task_assignee",),
-    "TASKINST": ("assignee", "owner"),
-    "VARINST": ("variable_value_text",),
+    "VARINST": ("variable_value_text", "variable_value_ref"),
+    "TASKINST": ("assignee", "owner", "task_name", "task_description"),
     "DETAIL": ("variable_value_text",),
-    "CASEINST": ("business_key",),
+    "COMMENT": ("message",),
 }
 COLUMN_DEFAULTS = {"state": "ACTIVE", "canceled": False, "is_byte_array": False, "resolved": False, "user_id_pseudonymized": False}
 
