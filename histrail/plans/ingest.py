@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import envelope, materialise
-from ..schemas import CLASSES
+from ..schemas import CLASSES, ENTITY_CLASSES
+from ..session import materialise as store
 from ..session import scratch
 from ..sources import messages as sources
 from ..streaming.pipeline import HistoryPipeline
@@ -145,7 +148,41 @@ def s1_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs[0].unionByName(logs[1]).unionByName(dead)
 
 
-QUERIES = {f.__name__: f for f in (f1_routes, f2_drift, f4_columns, f10_round_trip, f11_large_payload, k3_dead_letters, s7_dead_letter_report, t1_partitions, a1_merge, a1_outcomes, d1_append, d1_first_rows, d5_ledger, d3_outbox_duplicates, s8_months, u1_all_classes, s4_correlations, s1_stream)}
+def _accounts(pipe: HistoryPipeline, wire: DataFrame, run: str) -> DataFrame:
+    """Where every message of ``wire`` is: in a log table, a copy of a row there, applied to an entity, dead or waiting."""
+    key = ["engine_id", "history_event_id", "event_type", "event_time"]
+    sound = envelope.parse(wire).filter("drift is null")
+    none = F.lit(None).cast("string")
+    parts = [pipe.dead().select(F.lit("DLQ").alias("place"), F.col("class_tag").alias("history_class"), "reason"), envelope.parse(pipe.waiting()).select(F.lit("RETRY").alias("place"), "history_class", none.alias("reason"))]
+    for c in pipe.classes:
+        if c in ENTITY_CLASSES:
+            parts.append(pipe.spark.read.parquet(f"{pipe.root}/entities").filter(F.col("class") == c).select(F.lit("ENTITY").alias("place"), F.lit(c).alias("history_class"), none.alias("reason")))
+            continue
+        table = pipe.log_table(c)
+        there = sound.filter(F.col("history_class") == c).join(table.select(*key), key, "left_semi")
+        parts.append(table.select(F.lit("LOG").alias("place"), F.lit(c).alias("history_class"), none.alias("reason")))
+        nth = F.row_number().over(Window.partitionBy(*key).orderBy("arrival_no"))
+        parts.append(there.withColumn("k", nth).filter("k > 1").select(F.lit("COPY").alias("place"), F.lit(c).alias("history_class"), none.alias("reason")))
+    return reduce(DataFrame.unionByName, parts).groupBy(F.lit(run).alias("run"), "place", "history_class", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def s1_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every message after the first run of the write path, and after the run that leaves none waiting. Some
+    bodies are empty or null."""
+    root = scratch(spark, "pipeline")
+    n = F.col("stream_sequence")
+    wire = envelope.encode(_events(spark, sf_dir)).withColumn("arrival_no", n).withColumn("data", F.when(n % 61 == 0, F.lit(b"")).when(n % 67 != 0, F.col("data")))
+    wire.write.parquet(f"{root}/in")
+    wire = sources.message_batch(spark, f"{root}/in")
+    pipe = HistoryPipeline(spark, f"{root}/out", ["OP_LOG", "EXT_TASK_LOG", "INCIDENT"])
+    pipe.run(sources.message_stream(spark, f"{root}/in"))
+    first = store(_accounts(pipe, wire, "first"), "first")
+    for _ in range(envelope.MAX_DELIVERIES):  # a message without deliveries has so many more before it is dead
+        pipe.run(sources.message_stream(spark, f"{root}/in"))
+    return first.unionByName(_accounts(pipe, wire, "last"))
+
+
+QUERIES = {f.__name__: f for f in (f1_routes, f2_drift, f4_columns, f10_round_trip, f11_large_payload, k3_dead_letters, s7_dead_letter_report, t1_partitions, a1_merge, a1_outcomes, d1_append, d1_first_rows, d5_ledger, d3_outbox_duplicates, s8_months, u1_all_classes, s4_correlations, s1_stream, s1_accounted)}
 
 _E = f"""e AS (SELECT arrival_no AS n, CASE WHEN arrival_no % 97 = 0 THEN ' ' ELSE engine_id END AS engine_id, CASE WHEN arrival_no % 53 = 0 THEN 'NO_SUCH_CLASS' ELSE history_class END AS history_class,
  event_type, {_id("history_event_id")} AS history_event_id, {_id("process_instance_id")} AS process_instance_id, business_key, event_time, payload_scalar, 1 + arrival_no % 7 AS delivery FROM compact_history_outbox)"""
@@ -183,4 +220,10 @@ ORACLE = {
     "s4_correlations": "SELECT subject, business_key, trace_id, CAST(length(decode(payload)) AS BIGINT) AS n_chars FROM outbound_message_outbox WHERE octet_length(payload) > 0",
     "s1_stream": _R.replace("n % 11 = 0 OR n % 53 = 0 AS fails", "n % 53 = 0 AS fails") + """, l AS (SELECT history_class, count(DISTINCT (engine_id, history_event_id, event_type, event_time)) AS n FROM w WHERE route = 'log' GROUP BY 1)
  SELECT history_class AS what, n FROM l UNION ALL SELECT 'DLQ ' || history_class, count(*) FROM w WHERE route = 'dlq' GROUP BY 1""",
+    "s1_accounted": f"""WITH {_E}, s AS (SELECT *, n % 97 = 0 OR n % 83 = 0 OR n % 61 = 0 OR n % 67 = 0 AS bad, n % 53 = 0 AS fails FROM e),
+ x AS (SELECT 'first' AS run, 4 AS most, * FROM s UNION ALL SELECT 'last', 0, * FROM s),
+ y AS (SELECT *, CASE WHEN bad OR (fails AND delivery > most) THEN 'DLQ' WHEN fails THEN 'RETRY' WHEN history_class = 'INCIDENT' THEN 'ENTITY' ELSE 'LOG' END AS route,
+ CASE WHEN bad THEN '{envelope.SCHEMA_DRIFT}' WHEN fails AND delivery > most THEN '{envelope.BUDGET_EXCEEDED}' END AS reason FROM x),
+ z AS (SELECT *, CASE WHEN route = 'LOG' AND row_number() OVER (PARTITION BY run, route, history_class, engine_id, history_event_id, event_type, event_time ORDER BY n) > 1 THEN 'COPY' ELSE route END AS place FROM y)
+ SELECT run, place, history_class, reason, count(*) AS n FROM z GROUP BY 1, 2, 3, 4""",
 }

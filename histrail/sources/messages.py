@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..streaming.pipeline import MESSAGES
 
 
-def message_stream(spark: SparkSession, path: str, files_per_batch: int = 16) -> DataFrame:
-    """A stream over a folder of message files. Messages with an empty body are skipped."""
+def message_stream(spark: SparkSession, path: str, files_per_batch: int = 16, skip_empty: bool = False) -> DataFrame:
+    """A stream over a folder of message files. Only a core subscription skips messages with an empty body (``skip_empty``);
+    in the history log they are drift."""
     stream = spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    return stream.filter(F.octet_length("data") > 0)
+    return stream.filter(F.octet_length("data") > 0) if skip_empty else stream
 
 
 def message_batch(spark: SparkSession, path: str) -> DataFrame:

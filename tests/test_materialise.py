@@ -185,6 +185,34 @@ def test_pipeline_replays(spark):
     assert {r.month for r in log.select("month").collect()} == {"2020-01"}
 
 
+def test_pipeline_keeps_what_it_cannot_write(spark):
+    """Unknown classes, classes not handled and empty bodies: written somewhere after every run, and dead in the end."""
+    root = scratch(spark, "p")
+    wire = _wire(spark, headers={"Class": "NO_SUCH_CLASS"}).unionByName(_wire(spark, headers={"Class": "EXT_TASK_LOG"})).unionByName(_wire(spark)).unionByName(_wire(spark, data=b"")).unionByName(_wire(spark, data=None))
+    wire.withColumn("delivery_count", F.lit(3)).withColumn("arrival_no", F.monotonically_increasing_id()).write.parquet(f"{root}/in")
+    pipe = HistoryPipeline(spark, f"{root}/out", ["OP_LOG"])
+    seen = []
+    for _ in range(4):
+        pipe.run(sources.message_stream(spark, f"{root}/in"))
+        seen.append((pipe.waiting().count(), pipe.dead().filter(F.col("reason") == envelope.SCHEMA_DRIFT).count(), pipe.dead().filter(F.col("reason") == envelope.BUDGET_EXCEEDED).count(), pipe.log_table("OP_LOG").count()))
+    assert seen == [(2, 2, 0, 1), (2, 2, 0, 1), (0, 2, 2, 1), (0, 2, 2, 1)]
+    assert {r.delivery_count for r in pipe.dead().filter(F.col("reason") == envelope.BUDGET_EXCEEDED).collect()} == {5}
+
+
+def test_pipeline_repeats_a_failed_round(spark):
+    root = scratch(spark, "p")
+    _wire(spark, headers={"Class": "EXT_TASK_LOG"}).withColumn("delivery_count", F.lit(4)).withColumn("arrival_no", F.lit(1).cast("long")).write.parquet(f"{root}/in")
+    pipe = HistoryPipeline(spark, f"{root}/out", ["OP_LOG"])
+    pipe.run(sources.message_stream(spark, f"{root}/in"))
+    # the round has written everything, then fails before it is ended
+    pipe(pipe.waiting().drop("retry_after_s").withColumn("delivery_count", F.lit(5)), -1)
+    assert pipe.dead().count() == 1
+    late = HistoryPipeline(spark, f"{root}/out", ["OP_LOG"])
+    late.run(sources.message_stream(spark, f"{root}/in"))
+    late.run(sources.message_stream(spark, f"{root}/in"))
+    assert late.dead().count() == 1 and late.waiting().count() == 0
+
+
 def test_message_window(spark):
     root = scratch(spark, "w")
     spark.createDataFrame([("a", T0), ("a", T0 + timedelta(seconds=30)), ("b", T0)], "id string, t timestamp").write.parquet(root)
