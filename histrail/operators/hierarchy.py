@@ -152,10 +152,58 @@ def hierarchy(nodes: DataFrame, node: str, parent: str, *, paths: bool = False)
     return base.join(answer, "node", "left").withColumnRenamed("node", "__node").select(F.col("__node").alias("node"), "parent", "root", "depth", *(["path"] if paths else []))
 
 
+def _rings(endless: DataFrame) -> DataFrame:
+    """``node, least`` of the nodes on cycles, ``least`` being the least node of the cycle. ``endless`` (``node, parent``) holds
+    the nodes whose walks never end, so every parent is among them.
+
+    After 2**r >= n steps every walk is on its cycle, and the nodes reached are all the nodes of the cycles; the least of the
+    nodes passed from there, at least once around, is that of the cycle.
+    """
+    walks = endless.select("node", F.col("parent").alias("ptr"), F.col("node").alias("least"))
+    left, rounds = walks.count(), 0
+    while 2**rounds < left:
+        to = walks.select(F.col("node").alias("ptr"), F.col("ptr").alias("__p"), F.col("least").alias("__l"))
+        walks = materialise(walks.join(to, "ptr", "inner").select("node", F.col("__p").alias("ptr"), F.least("least", "__l").alias("least")), f"ring-{rounds}")
+        rounds += 1
+    return walks.join(walks.select(F.col("ptr").alias("node")).distinct(), "node", "left_semi").select("node", "least")
+
+
+def lineage(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """``node, above``: for every row of ``nodes`` (as for :func:`hierarchy`) all its ancestors, the nearest first, each once.
+
+    Where the chain runs into a cycle it stops before it would come to a node again: a node below a cycle has all nodes of the
+    cycle above it, a node on one all the others. Such components are cut open above the least node of the cycle, which makes
+    them trees with that node as root; what the cut takes away from a path is the part of the cycle beyond the place where the
+    chain enters it, and that is the end of the path of the node that was the root's parent.
+    """
+    base = materialise(nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent")).filter(F.col("node").isNotNull()), "lineage-nodes")
+    tree = materialise(hierarchy(base, "node", "parent", paths=True), "lineage-tree")
+    up = lambda path: F.reverse(F.slice(path, 1, F.size(path) - 1))
+    ended = tree.filter(F.col("path").isNotNull()).select("node", up(F.col("path")).alias("above"))
+    endless = materialise(tree.filter(F.col("path").isNull()).select("node", "parent"), "lineage-endless")
+    if endless.isEmpty():
+        return ended
+    tops = materialise(_rings(endless).filter(F.col("node") == F.col("least")).select("node"), "lineage-tops")
+    cut = endless.join(tops.withColumn("__top", F.lit(True)), "node", "left").select("node", F.when(F.col("__top").isNull(), F.col("parent")).alias("parent"))
+    opened = materialise(hierarchy(cut, "node", "parent", paths=True), "lineage-opened")
+    last = endless.join(tops, "node", "left_semi").select(F.col("node").alias("root"), F.col("parent").alias("node"))
+    rings = opened.select("node", F.col("path").alias("ring")).join(last, "node", "inner").select("root", "ring")
+    entered = F.size(F.array_intersect("path", "ring"))  # the path and the cycle have their beginning in common
+    beyond = F.reverse(F.slice(F.col("ring"), entered + 1, F.size("ring")))
+    return ended.unionByName(opened.join(rings, "root", "inner").select("node", F.concat(up(F.col("path")), beyond).alias("above")))
+
+
+def all_descendants(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """``ancestor, descendant, distance`` of every node and each node below it, in and below cycles too; no node is its own
+    descendant. The result is as large as the sum of all depths, a node on a cycle counting as below all the others."""
+    return lineage(nodes, node, parent).select(F.posexplode("above").alias("at", "ancestor"), F.col("node").alias("descendant")).select("ancestor", "descendant", (F.col("at") + 1).cast("long").alias("distance"))
+
+
 def descendants(tree: DataFrame) -> DataFrame:
     """``node, n_descendants, deepest``: how many nodes lie below each node that has any, and how far down.
 
     ``tree`` is the result of :func:`hierarchy` with paths. The pairs of ancestor and descendant are counted on the map side.
+    Nodes in and below cycles have no path and so no row here; :func:`all_descendants` has theirs as well.
     """
     pairs = tree.filter(F.size("path") > 1).select(F.posexplode(F.slice("path", 1, F.size("path") - 1)).alias("at", "node"), "depth")
     return pairs.groupBy("node").agg(F.count(F.lit(1)).alias("n_descendants"), F.max(F.col("depth") - F.col("at")).alias("deepest"))

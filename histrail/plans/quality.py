@@ -183,10 +183,13 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 7: hierarchies ----------------------------------------------------------------------------------------------------
 
 
-def _tree(spark: SparkSession, sf_dir: str, paths: bool) -> DataFrame:
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes = current_instances(spark, sf_dir, "super_process_instance_id").filter(F.col("deleted_at").isNull())
-    parent = same_id("super_process_instance_id")
-    return hierarchy.hierarchy(nodes.select("process_instance_id", parent.alias("parent")), "process_instance_id", "parent", paths=paths)
+    return nodes.select("process_instance_id", same_id("super_process_instance_id").alias("parent"))
+
+
+def _tree(spark: SparkSession, sf_dir: str, paths: bool) -> DataFrame:
+    return hierarchy.hierarchy(_calls(spark, sf_dir), "process_instance_id", "parent", paths=paths)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,14 +204,22 @@ def p7_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many instances each instance called, directly or through others, and how deep."""
+    """How many instances each instance called, directly or through others, and how deep; without those in and below cycles,
+    as its SQL has it. All are in :func:`p7_descendant_ids`."""
     d = hierarchy.descendants(_tree(spark, sf_dir, paths=True))
     return d.select(F.col("node").alias("process_instance_id"), "n_descendants", "deepest")
 
 
+def p7_descendant_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every instance with each instance that it called, directly or through others, in and below cycles too."""
+    d = hierarchy.all_descendants(_calls(spark, sf_dir), "process_instance_id", "parent")
+    return d.select(F.col("ancestor").alias("process_instance_id"), F.col("descendant").alias("called_process_instance_id"), "distance")
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_cells": p1_cells, "p1_net_counts": p1_net_counts, "p2_found": p2_found, "p3_found": p3_found, "p3_periods": p3_periods, "p5_found": p5_found,
     "p5_in_two_sets": p5_in_two_sets, "p6_found": p6_found, "p6_report": p6_report, "p7_found": p7_found, "p7_paths": p7_paths, "p7_descendants": p7_descendants,
+    "p7_descendant_ids": p7_descendant_ids,
 }
 
 # --- the same in SQL ---------------------------------------------------------------------------------------------------
@@ -294,4 +305,9 @@ SELECT st.pid AS process_instance_id, s AS period_start_ms, nullif(coalesce(lead
     "p7_paths": _TREE + " SELECT n.id AS process_instance_id, array_to_string(t.path, '/') AS path FROM n LEFT JOIN t ON n.id = t.id WHERE n.parent IS NOT NULL",
     "p7_descendants": _TREE + """ SELECT a.id AS process_instance_id, count(*) AS n_descendants, max(distance) AS deepest
 FROM (SELECT unnest(path[:-2]) AS id, depth, generate_subscripts(path[:-2], 1) AS i, depth - generate_subscripts(path[:-2], 1) + 1 AS distance FROM t WHERE depth > 0) a GROUP BY 1""",
+    "p7_descendant_ids": f"""WITH RECURSIVE n AS (SELECT pid AS id, {_id("r.super_process_instance_id")} AS parent FROM {_PI} WHERE r.deleted_at IS NULL),
+link AS (SELECT n.id, p.id AS up FROM n JOIN n p ON n.parent = p.id),
+a AS (SELECT id, up AS above, CAST(1 AS BIGINT) AS distance, [id] AS seen FROM link WHERE up <> id
+  UNION ALL SELECT a.id, link.up, a.distance + 1, list_append(a.seen, a.above) FROM a JOIN link ON a.above = link.id WHERE link.up <> a.above AND NOT list_contains(a.seen, link.up))
+SELECT above AS process_instance_id, id AS called_process_instance_id, distance FROM a""",
 }

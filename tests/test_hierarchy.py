@@ -68,3 +68,21 @@ def test_descendants(spark):
     assert {tuple(g) for g in H.descendants(tree).collect()} == {("a", 3, 2), ("b", 2, 1)}
     got = H.descendants_of(tree, spark.createDataFrame([("b",)], "node string")).collect()
     assert {tuple(g) for g in got} == {("b", "c", 1), ("b", "d", 1)}
+
+
+@pytest.mark.parametrize("one_task", [0, 20_000])
+def test_all_descendants_with_cycles(spark, monkeypatch, one_task):
+    monkeypatch.setattr(H, "ONE_TASK", one_task)
+    r = random.Random(5)
+    parents = {f"n{i}": r.choice([None, f"n{r.randrange(60)}", f"n{r.randrange(60)}", "gone"]) for i in range(60)}
+    parents |= {f"r{i}": f"r{(i + 1) % 7}" for i in range(7)} | {"u0": "r3", "u1": "u0", "u2": "u1", "self": "self", "below": "self", "lower": "below", "a": "b", "b": "a"}
+    want = set()
+    for x in parents:
+        seen, y = [x], parents[x]
+        while y in parents and y not in seen:
+            want.add((y, x, len(seen)))
+            seen.append(y)
+            y = parents[y]
+    nodes = spark.createDataFrame(list(parents.items()), "id string, up string")
+    got = [tuple(g) for g in H.all_descendants(nodes, "id", "up").collect()]
+    assert len(got) == len(want) and set(got) == want and ("u0", "u2", 2) in want and ("self", "lower", 2) in want
