@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialise, spread
 
-#: A pair is kept in the model when it makes up at least this share of all pairs, so there are at most 2,000,000 of them.
-LEAST_SHARE = 5e-7
 #: A pair whose share of the corpus's mutual information (in bits a pair, the information of one pair taken as at most
 #: ``MOST_BITS``) lies below this is improbable.
 THRESHOLD = 1e-3
@@ -85,6 +84,15 @@ def _as_utf8(piece: str, encoding: str) -> str:
     return _SEQUENCE[encoding].sub(decode, piece)
 
 
+def _is_utf8(piece: str, encoding: str) -> bool:
+    """Whether the bytes of the whole piece are UTF-8, and every character of it is one that is assigned."""
+    try:
+        new = bytes(ord(c) if c < "\x80" else _BYTES[encoding].get(c, 0xFF) for c in piece).decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return not any(unicodedata.category(c) == "Cn" or "\x80" <= c < "\xa0" for c in new)
+
+
 def _as_bytes(piece: str, table: dict[int, str]) -> str | None:
     """Exchange every non-ASCII character for the one its byte means in another encoding; None if one has no byte. Odd white
     space stays: text of any encoding holds it, and it is no part of a word."""
@@ -105,17 +113,32 @@ class PairModel:
         self.left = self._margin(first)
         self.right = self._margin(second)
         p = self.counts / self.total
-        pl = np.array([self.left[x] for x in first.tolist()], dtype=float) / self.total
-        pr = np.array([self.right[x] for x in second.tolist()], dtype=float) / self.total
+        pl, pr = self._of(self.left, first) / self.total, self._of(self.right, second) / self.total
         bits = np.clip(np.log2(p / (pl * pr)), 2.0**-20, MOST_BITS) if len(p) else p
         #: How improbable each pair is: positive below the threshold.
         self.scores = np.clip(np.log2(THRESHOLD) - np.log2(p * bits), -4.0, 8.0)
-        self.pairs = dict(zip(self.codes.tolist(), self.counts.tolist(), strict=True))
+        self.looked_up: dict[int, float] = {}
 
     def _margin(self, side: np.ndarray) -> dict[int, float]:
         values, where = np.unique(side, return_inverse=True)
         return dict(zip(values.tolist(), np.bincount(where, weights=self.counts, minlength=len(values)).tolist(), strict=True))
 
+    @staticmethod
+    def _of(margin: dict[int, float], side: np.ndarray) -> np.ndarray:
+        table = np.zeros(max(margin, default=0) + 1)
+        table[list(margin)] = list(margin.values())
+        return table[side]
+
+    def count(self, code: int) -> float:
+        """How often a pair occurs; the arrays hold all pairs, a dict only those that were asked for."""
+        n = self.looked_up.get(code)
+        if n is None:
+            if len(self.looked_up) > 500_000:
+                self.looked_up.clear()
+            at = int(np.searchsorted(self.codes, code))
+            n = self.looked_up[code] = float(self.counts[at]) if at < len(self.codes) and self.codes[at] == code else 0.0
+        return n
+
     def score(self, codes: np.ndarray) -> np.ndarray:
         if not len(self.codes):
             return np.full(len(codes), 8.0)
@@ -128,8 +151,8 @@ class PairModel:
     def likelihood(self, text: str) -> float:
         """Bits of the text, each character given the one before."""
         points = [48 if 48 <= (p := ord(c)) <= 57 else p for c in text]
-        get, left = self.pairs.get, self.left.get
-        return sum(log2((get((a << 32) | b, 0) + 0.05) / (left(a, 0) + 25.0)) for a, b in zip(points, points[1:], strict=False))
+        count, left = self.count, self.left.get
+        return sum(log2((count((a << 32) | b) + 0.05) / (left(a, 0) + 25.0)) for a, b in zip(points, points[1:], strict=False))
 
 
 def _points(text: str) -> np.ndarray:
@@ -212,7 +235,8 @@ class Restorer:
                     seen.add(new)
                     inner.append(new)
                     gain = bits(new) - now
-                    if gain > max(LEAST_GAIN_UTF8, best_gain) and self._likely(new):
+                    # characters that the corpus has nowhere else are no objection when all bytes are valid UTF-8
+                    if gain > max(LEAST_GAIN_UTF8, best_gain) and (self._likely(new) or _is_utf8(text, e)):
                         best, best_gain = new, gain
             if depth == 0 and best is None:
                 for table in _EXCHANGE.values():
@@ -251,7 +275,7 @@ class Restorer:
 def pair_model(df: DataFrame, text: str) -> PairModel:
     """Count adjacent characters over all texts: summed in each Arrow batch, then by pair over the cluster.
 
-    What comes to the driver is at most 1 / LEAST_SHARE rows of two numbers, whatever the corpus holds.
+    Every pair comes to the driver with its exact count: two numbers a different pair, however long the corpus is.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,9 +291,7 @@ def pair_model(df: DataFrame, text: str) -> PairModel:
                     parts, size = [], 0
 
     counted = materialise(spread(df.select(text)).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
-    # a pair below the least share can't be told from noise
-    whole = counted.agg(F.sum("n")).first()[0] or 0
-    kept = counted.filter(F.col("n") >= max(1.0, whole * LEAST_SHARE)).toArrow().sort_by("pair")
+    kept = counted.toArrow().sort_by("pair")
     return PairModel(kept.column("pair").to_numpy().astype(np.int64), kept.column("n").to_numpy().astype(np.float64))
 
 

@@ -66,3 +66,26 @@ def test_inverse_mappings():
 def test_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert M.restore(none, "doc_id", "text").count() == 0
+
+
+def test_rare_script_in_a_large_corpus(spark):
+    """One text in a script that makes up less than 5e-7 of all pairs: every pair is counted, and what was spoiled is restored."""
+    from pyspark.sql import functions as F
+
+    text, rare = CLEAN[0] + " " + CLEAN[1], "ภาษาไทย"
+    many = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    odd = spark.createDataFrame([(100_000, f"clean {rare} text"), (100_001, f"spoiled {rare.encode().decode('latin-1')} text")], "doc_id long, text string")
+    model = M.pair_model(many.unionByName(odd), "text")
+    assert model.total > 4_000_000 and 1 / model.total < 5e-7 and all(model.knows(c) for c in rare)
+    got = {g.doc_id: g for g in M.restore(many.unionByName(odd), "doc_id", "text").filter("doc_id >= 100000").collect()}
+    assert not got[100_000].wrongly_decoded and got[100_001].wrongly_decoded and got[100_001].restored == f"spoiled {rare} text"
+
+
+def test_script_that_occurs_only_spoiled():
+    """No character of it is known, but all its bytes are valid UTF-8."""
+    import numpy as np
+
+    wrong = "ภาษาไทย".encode().decode("latin-1")
+    texts = [c for c in CLEAN for _ in range(200)] + [f"one {wrong} word"]
+    codes, counts = np.unique(np.concatenate([M.pair_codes(f" {t} ") for t in texts]), return_counts=True)
+    assert M.Restorer(M.PairModel(codes, counts.astype(float))).text(f"one {wrong} word")[:2] == (True, "one ภาษาไทย word")
