@@ -7,6 +7,7 @@ import unicodedata
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from math import log2
 
 import numpy as np
@@ -21,14 +22,17 @@ from ..session import materialise, spread
 #: ``MOST_BITS``) lies below this is improbable.
 THRESHOLD = 1e-3
 MOST_BITS = 4.0
-#: A piece whose characters form valid UTF-8 must become likelier by so many bits; one that is only exchanged byte for byte
-#: by more, for any text can be exchanged.
-LEAST_GAIN_UTF8 = 0.0
-LEAST_GAIN_BYTES = 4.0
+#: Text with a mapping undone must be likelier by so many bits, and by the logarithm of the number of mappings that were tried.
+#: A character that stood where no language puts it counts as so many bits.
+LEAST_GAIN, ODD_BITS = 4.0, 8.0
+#: Where nothing but the likelihood speaks for a mapping, so many characters of a text, in different places, must agree on it.
+AGREEING = 3
+#: and at least so much of the pairs that they make must occur in the corpus.
+OWN_PAIRS = 0.9
 #: Non-ASCII characters with up to so many ASCII characters between them are one piece, tested with so much around it.
 GAP, AROUND = 4, 2
-#: Text may have gone through several wrong decodings.
-MOST_LAYERS = 3
+#: A worker remembers what the exchanges gain on up to so many different pieces, some 1,300 bytes each.
+MOST_GAINS = 20_000
 
 #: The encodings that text is taken for by mistake.
 READ_AS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250", "cp1251", "iso8859-2", "cp1254", "iso8859-15", "koi8-r", "cp866", "cp1253", "cp852", "cp857", "iso8859-9", "iso8859-5", "mac_cyrillic", "cp1257", "cp775", "mac_latin2", "mac_turkish")
@@ -90,14 +94,89 @@ def _is_utf8(piece: str, encoding: str) -> bool:
         new = bytes(ord(c) if c < "\x80" else _BYTES[encoding].get(c, 0xFF) for c in piece).decode("utf-8")
     except UnicodeDecodeError:
         return False
-    return not any(unicodedata.category(c) == "Cn" or "\x80" <= c < "\xa0" for c in new)
-
-
-def _as_bytes(piece: str, table: dict[int, str]) -> str | None:
-    """Exchange every non-ASCII character for the one its byte means in another encoding; None if one has no byte. Odd white
-    space stays: text of any encoding holds it, and it is no part of a word."""
-    new = "".join(c if c < "\x80" or c in ODD_SPACE else table.get(ord(c), "\0") for c in piece)
-    return None if "\0" in new or new == piece else new
+    return not any(unicodedata.category(c) in ("Cn", "Co") or "\x80" <= c < "\xa0" for c in new)
+
+
+@lru_cache(maxsize=100_000)
+def _exchanged(c: str) -> np.ndarray:
+    """What a character becomes under each exchange table; 0 where it has no byte or its byte means nothing. Odd white space
+    stays: text of any encoding holds it, and it is no part of a word."""
+    if c < "\x80" or c in ODD_SPACE:
+        return np.full(len(_EXCHANGE), ord(c), dtype=np.int64)
+    new = [t.get(ord(c), "\0") for t in _EXCHANGE.values()]
+    return np.array([0 if "\x80" <= x < "\xa0" else ord(x) for x in new], dtype=np.int64)
+
+
+# How a character may stand beside letters, whatever the language.
+_JOINS = frozenset("’‘ʼ·‐‑–—…\u2044")
+_AFTER_LETTERS = frozenset("™®°ºª²³¹ⁿ′″€£¥→←↔⇒×÷±=≠≤≥≈<>+−")
+_FORMULA = frozenset("×÷±=≠≤≥≈<>+−→←↔⇒")
+_MIXED_SCRIPTS = frozenset(("LATIN", "GREEK", "CYRILLIC"))
+
+
+@lru_cache(maxsize=100_000)
+def _kind(c: str) -> tuple[str, str, int]:
+    """The group of a character (L letter, M mark, D digit, S symbol, B box drawing, K lone accent, P punctuation, X no character
+    of texts, blank), its script if it is a letter, its case (1 upper, -1 lower)."""
+    category = unicodedata.category(c)
+    if c in "ªºµⁿ":
+        return "S", "", 0
+    if "\u02b0" <= c <= "\u02ff":
+        return "K", "", 0
+    if category[0] == "L":
+        return "L", unicodedata.name(c, "?").split(" ", 1)[0], 1 if category in ("Lu", "Lt") else -1 if category == "Ll" else 0
+    if category in ("Cc", "Cn", "Co"):
+        return ("X" if "\x80" <= c or category != "Cc" else " "), "", 0
+    if category in ("Mn", "Mc", "Me", "Cf"):
+        return "M", "", 0
+    if category[0] == "Z":
+        return " ", "", 0
+    if "\u2500" <= c <= "\u259f":
+        return "B", "", 0
+    group = "D" if category == "Nd" else "K" if category == "Sk" and c >= "\x80" else "P" if category[0] == "P" else "S"
+    return group, "", 0
+
+
+def oddness(text: str, start: int = 0, end: int | None = None) -> int:
+    """How many non-ASCII characters of ``text[start:end]`` stand where no language puts them.
+
+    Such are: control and unassigned characters; a letter between letters of another script; a capital after a small letter, a
+    small letter after two capitals; the fifth Latin letter with a mark in a row; a lone letter before a digit; a symbol, number sign or quotation mark between letters; box
+    drawing, a lone accent or a fraction behind a letter; a symbol that follows a non-ASCII letter or quotation mark.
+    """
+    odd = row = 0
+    end = len(text) if end is None else end
+    for i in range(start, end):
+        c = text[i]
+        if c < "\x80":
+            row = 0
+            continue
+        group, script, case = _kind(c)
+        before, b_script, b_case = _kind(text[i - 1]) if i else (" ", "", 0)
+        after, a_script, a_case = _kind(text[i + 1]) if i + 1 < len(text) else (" ", "", 0)
+        row = row + 1 if group == "L" and script == "LATIN" else 0
+        between = before == "L" and after == "L"
+        if group == "X":
+            odd += 1
+        elif group == "L":
+            strange = between and script != b_script and script != a_script and script in _MIXED_SCRIPTS and b_script in _MIXED_SCRIPTS and a_script in _MIXED_SCRIPTS
+            shouting = case < 0 and b_case > 0 and i > 1 and _kind(text[i - 2])[2] > 0
+            # a capital of another script after one small letter is a unit, such as the Greek one of resistance
+            risen = case > 0 and b_case < 0 and (script == b_script or (i > 1 and _kind(text[i - 2])[0] == "L"))
+            odd += strange or risen or (case < 0 and a_case > 0) or shouting or row > 4 or (before != "L" and after == "D" and c != "Ø")
+        elif group == "K":
+            odd += before == "L" or after == "L"
+        elif group == "B":
+            odd += before == "L" or (before == "S" and text[i - 1] >= "\x80") or (after in "LS" and text[i + 1 : i + 2] >= "\x80")
+        elif group in "SP":
+            # a sign between two single letters is a formula
+            formula = c in _FORMULA and (i < 2 or _kind(text[i - 2])[0] != "L") and (i + 2 >= len(text) or _kind(text[i + 2])[0] != "L")
+            wide = between and not formula
+            lead = group == "S" and i > 0 and text[i - 1] >= "\x80" and before in "LP" and c not in _AFTER_LETTERS
+            behind = group == "S" and before == "L" and c not in _AFTER_LETTERS
+            ahead = group == "S" and after == "L" and text[i + 1] >= "\x80" and c in "√∞∂∆∏∑Ω≈"
+            odd += (wide and c not in _JOINS) or lead or behind or ahead
+    return odd
 
 
 @dataclass
@@ -118,6 +197,8 @@ class PairModel:
         #: How improbable each pair is: positive below the threshold.
         self.scores = np.clip(np.log2(THRESHOLD) - np.log2(p * bits), -4.0, 8.0)
         self.looked_up: dict[int, float] = {}
+        self.firsts = np.array(sorted(self.left), dtype=np.int64)
+        self.first_counts = np.array([self.left[c] for c in self.firsts.tolist()])
 
     def _margin(self, side: np.ndarray) -> dict[int, float]:
         values, where = np.unique(side, return_inverse=True)
@@ -148,6 +229,19 @@ class PairModel:
     def knows(self, c: str) -> bool:
         return ord(c) in self.left or ord(c) in self.right
 
+    def bits(self, points: np.ndarray) -> np.ndarray:
+        """Bits of each character but the first of rows of characters, given the one before."""
+        points = np.where((points >= 48) & (points <= 57), 48, points)
+        if not len(self.codes):
+            return np.full(points[:, 1:].shape, log2(0.05 / 25.0))
+        left = points[:, :-1]
+        pairs = (left << 32) | points[:, 1:]
+        at = np.minimum(np.searchsorted(self.codes, pairs), len(self.codes) - 1)
+        n = np.where(self.codes[at] == pairs, self.counts[at], 0.0)
+        to = np.minimum(np.searchsorted(self.firsts, left), len(self.firsts) - 1)
+        m = np.where(self.firsts[to] == left, self.first_counts[to], 0.0)
+        return np.log2((n + 0.05) / (m + 25.0))
+
     def likelihood(self, text: str) -> float:
         """Bits of the text, each character given the one before."""
         points = [48 if 48 <= (p := ord(c)) <= 57 else p for c in text]
@@ -198,59 +292,152 @@ def improbable_runs(scores: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e, _, _ in found]
 
 
+_DIGIT = re.compile("[0-9]")
+
+
+@dataclass
+class _Piece:
+    """A stretch of a text that is tested: where it stands, what it is, and a little of what is around it."""
+
+    at: int
+    text: str
+    before: str
+    after: str
+
+    @property
+    def key(self) -> tuple[str, str, str]:
+        """Pieces of one key are judged alike: digits around them are all one."""
+        return _DIGIT.sub("0", self.before), self.text, _DIGIT.sub("0", self.after)
+
+    def with_(self, new: str) -> str:
+        return f"{self.before}{new}{self.after}"
+
+    def places(self) -> set[str]:
+        """Its non-ASCII characters with their neighbours."""
+        whole, at = self.with_(self.text), len(self.before)
+        return {whole[i - 1 : i + 2] for i in range(at, at + len(self.text)) if whole[i] >= "\x80"}
+
+    def odd(self, new: str) -> int:
+        return oddness(self.with_(new), len(self.before), len(self.before) + len(new))
+
+
 class Restorer:
-    """Tests the inverse mappings on pieces of text; a piece with the same surroundings is tested once."""
+    """Tests the inverse mappings on pieces of text; what only a piece's surroundings decide is worked out once."""
 
     def __init__(self, model: PairModel):
         self.model = model
-        self.known: dict[tuple[str, str, str], str | None] = {}
-
-    def piece(self, before: str, piece: str, after: str) -> str | None:
-        """The restored piece, the piece itself if characters were lost for good, or None if nothing is wrong with it."""
-        if any("0" <= c <= "9" for c in piece):
-            return self._test(before, piece, after)
-        key = (re.sub("[0-9]", "0", before), piece, re.sub("[0-9]", "0", after))
-        if key not in self.known:
-            if len(self.known) > 500_000:
-                self.known.clear()
-            self.known[key] = self._test(before, piece, after)
-        return self.known[key]
-
-    def _likely(self, text: str) -> bool:
-        return all(c < "\x80" or self.model.knows(c) for c in text)
-
-    def _test(self, before: str, piece: str, after: str) -> str | None:
-        bits = lambda text: self.model.likelihood(f"{before}{text}{after}")
-        now = bits(piece)
-        best, best_gain = None, 0.0
-        # layers of UTF-8 are undone one by one and judged at the end, for the text between two layers is no likelier
-        layers, seen = [piece], {piece}
-        for depth in range(MOST_LAYERS):
-            inner: list[str] = []
-            for text in layers:
+        self.known: dict[tuple[str, str, str], tuple[str | None, str | None, str | None]] = {}
+        self.columns: dict[str, np.ndarray] = {}
+        self.gained: dict[tuple[str, str, str], np.ndarray] = {}
+
+    def _utf8(self, p: _Piece) -> tuple[str | None, str | None, str | None]:
+        """The likeliest text of which the piece is UTF-8, read wrongly once or several times: one that holds by itself, one
+        that holds beside those or several of its kind, one that holds beside those only. None for what there isn't.
+
+        Layers are undone one by one and judged each; a layer leaves fewer characters, so it ends. A likelier text that loses
+        odd characters holds by itself. Of one with characters that the corpus has nowhere else the likelihood says nothing:
+        it needs all bytes to be UTF-8, and two odd characters less to hold by itself.
+        """
+        key = p.key
+        if key in self.known:
+            return self.known[key]
+        now, odd = self.model.likelihood(p.with_(p.text)), p.odd(p.text)
+        best: list[str | None] = [None, None, None]
+        gains = [-1e9, 0.0, -1e9]
+        layers, seen = [(p.text, True)], {p.text}
+        while layers:
+            inner = []
+            for text, whole in layers:
                 for e in READ_AS:
                     new = _as_utf8(text, e)
                     if new in seen:
                         continue
                     seen.add(new)
-                    inner.append(new)
-                    gain = bits(new) - now
-                    # characters that the corpus has nowhere else are no objection when all bytes are valid UTF-8
-                    if gain > max(LEAST_GAIN_UTF8, best_gain) and (self._likely(new) or _is_utf8(text, e)):
-                        best, best_gain = new, gain
-            if depth == 0 and best is None:
-                for table in _EXCHANGE.values():
-                    new = _as_bytes(piece, table)
-                    if new is None or new in seen or any("\x80" <= c < "\xa0" for c in new):
-                        continue
-                    seen.add(new)
-                    gain = bits(new) - now
-                    if gain > max(LEAST_GAIN_BYTES, best_gain) and self._likely(new):
-                        best, best_gain = new, gain
+                    entire = whole and _is_utf8(text, e)
+                    inner.append((new, entire))
+                    # a sequence of three or more characters is rare by chance
+                    less = odd - p.odd(new) + (len(text) - len(new) > len(_SEQUENCE[e].findall(text)))
+                    gain = self.model.likelihood(p.with_(new)) - now
+                    known = all(c < "\x80" or self.model.knows(c) for c in new)
+                    sure = (known and gain > 0 and less > 0) or (entire and less > 1)
+                    tier = 0 if sure else 1 if known else 2
+                    if gain > gains[tier] and less >= 0 and (tier < 2 or entire):
+                        best[tier], gains[tier] = new, gain
             layers = inner
-            if not layers:
+        if len(self.known) > 500_000:
+            self.known.clear()
+        self.known[key] = tuple(best)
+        return self.known[key]
+
+    def _column(self, c: str) -> np.ndarray:
+        """What a character becomes under each exchange table; 0 where that is nothing that the corpus knows."""
+        got = self.columns.get(c)
+        if got is None:
+            every = _exchanged(c)
+            fine = {v: v > 0 and (v < 128 or self.model.knows(chr(v))) for v in set(every.tolist())}
+            got = self.columns[c] = np.array([v if fine[v] else 0 for v in every.tolist()], dtype=np.int64) if c >= "\x80" else every
+        return got
+
+    def _gains(self, p: _Piece) -> np.ndarray:
+        """The bits that each exchange table gains on the piece; 0 where it is impossible or changes nothing."""
+        got = self.gained.get(p.key)
+        if got is None:
+            new = np.stack([self._column(c) for c in p.text], axis=1)
+            possible = (new > 0).all(1)
+            # tables that do the same to these characters are scored once
+            which: dict[bytes, int] = {}
+            same = np.array([which.setdefault(row.tobytes(), len(which)) if fine else -1 for row, fine in zip(new, possible, strict=True)])
+            got = np.zeros(len(new), dtype=np.float32)
+            if which:
+                rows = np.stack([np.frombuffer(k, dtype=np.int64) for k in which])
+                around = [np.tile(_points(x), (len(rows), 1)) for x in (p.before, p.after)]
+                gain = self.model.bits(np.concatenate([around[0], rows, around[1]], axis=1)).sum(1) - self.model.bits(_points(p.with_(p.text))[None]).sum()
+                got[possible] = gain.astype(np.float32)[same[possible]]
+            if len(self.gained) > MOST_GAINS:
+                self.gained.clear()
+            self.gained[p.key] = got
+        return got
+
+    def _exchange(self, pieces: list[_Piece]) -> dict[int, str]:
+        """The pieces (by number) that one exchange of bytes restores, the best for all of them together; empty if none holds."""
+        gain = np.stack([self._gains(p) for p in pieces], axis=1)
+        margin = LEAST_GAIN + log2(len(_EXCHANGE))
+        was_odd = np.array([p.odd(p.text) for p in pieces])
+        letters = np.array([all(c < "\x80" or _kind(c)[0] in "LM" for c in p.text) for p in pieces])
+        # no more than the odd characters of the pieces that gain can be lost, so the rest need not be looked at
+        most = np.where(gain > 0, gain + ODD_BITS * was_odd, 0.0).sum(1)
+        if most.max() <= margin:
+            return {}
+        best: dict[int, str] = {}
+        best_score = margin
+        for r in np.argsort(-most, kind="stable"):
+            if most[r] <= best_score:
                 break
-        return best if best is not None else piece if LOST in piece else None
+            out: dict[int, str] = {}
+            less, won = 0, 0.0
+            for i in np.flatnonzero(gain[r] > 0):
+                p = pieces[i]
+                text = "".join([chr(self._column(c)[r]) for c in p.text])
+                fewer = int(was_odd[i]) - p.odd(text)
+                if fewer >= 0:
+                    out[int(i)] = text
+                    less += fewer
+                    won += float(gain[r, i])
+            score = won + ODD_BITS * less
+            if score <= best_score:
+                continue
+            # letters that only became likelier letters: in several different places, hardly any that becomes less likely, and
+            # nearly all of the new pairs are the corpus's own
+            agree = len({x for i, t in out.items() if letters[i] and all(c < "\x80" or _kind(c)[0] in "LM" for c in t) for x in pieces[i].places()})
+            if less > 0 or (agree >= AGREEING and float(gain[r].sum()) > 0.8 * won and self._own([pieces[i].with_(t) for i, t in out.items()]) >= OWN_PAIRS):
+                best, best_score = out, score
+        return best
+
+    def _own(self, texts: list[str]) -> float:
+        """The share of their pairs with a non-ASCII character that the corpus has."""
+        points = [_points(t) for t in texts]
+        own = [self.model.count((a << 32) | b) > 0 for x in points for a, b in zip(x[:-1].tolist(), x[1:].tolist(), strict=True) if a > 127 or b > 127]
+        return sum(own) / max(1, len(own))
 
     def text(self, text: str | None) -> tuple[bool, str | None, int]:
         """Whether the text holds a wrongly decoded stretch, the text as far as it can be restored, the number of such pieces."""
@@ -258,18 +445,42 @@ class Restorer:
             return False, text, 0
         runs = improbable_runs(self.model.score(pair_codes(f" {text} ")))
         starts, ends = np.array([s for s, _ in runs], dtype=np.int64), np.array([e for _, e in runs], dtype=np.int64)
-        out, at, hits = [], 0, 0
+        pieces = []
         for m in _PIECE.finditer(text):
             lo, hi = m.span()
             # a piece is tested when an improbable run touches one of its pairs, the one into it and out of it included
             k = int(np.searchsorted(ends, lo, "right"))
-            if k >= len(starts) or starts[k] > hi:
-                continue
-            new = self.piece(f" {text}"[max(0, lo + 1 - AROUND) : lo + 1], m.group(), text[hi : hi + AROUND] if hi < len(text) else " ")
-            if new is not None:
-                out += [text[at:lo], new]
-                at, hits = hi, hits + 1
-        return hits > 0, "".join([*out, text[at:]]) if hits else text, hits
+            if k < len(starts) and starts[k] <= hi:
+                pieces.append(_Piece(lo, m.group(), f" {text}"[max(0, lo + 1 - AROUND) : lo + 1], text[hi : hi + AROUND] if hi < len(text) else " "))
+        read = [self._utf8(p) for p in pieces]
+        new = {i: x[0] for i, x in enumerate(read) if x[0] is not None}
+        likely = {i: x[1] for i, x in enumerate(read) if x[0] is None and x[1] is not None}
+        if new:
+            new |= {i: x[2] for i, x in enumerate(read) if i not in new and i not in likely and x[2] is not None}
+        if new or len({x for i in likely for x in pieces[i].places()}) >= AGREEING:
+            new |= likely
+        alike: dict[tuple[str, str, str], list[int]] = {}
+        for i, p in enumerate(pieces):
+            if i not in new and LOST not in p.text:
+                alike.setdefault(p.key, []).append(i)
+        rest = list(alike.values())
+        if not any(pieces[i[0]].odd(pieces[i[0]].text) for i in rest):  # then only letters may become letters
+            rest = [i for i in rest if all(c < "\x80" or _kind(c)[0] in "LM" for c in pieces[i[0]].text)]
+            rest = rest if len({x for i in rest for x in pieces[i[0]].places()}) >= AGREEING else []
+        while rest:
+            got = self._exchange([pieces[i[0]] for i in rest])
+            if not got:
+                break
+            new |= {i: t for k, t in got.items() for i in rest[k]}
+            rest = [i for k, i in enumerate(rest) if k not in got]
+        out, at = [], 0
+        for i in sorted(new):
+            p = pieces[i]
+            out += [text[at : p.at], new[i]]
+            at = p.at + len(p.text)
+        # the piece with characters that were lost for good stays as it is
+        hits = len(new) + sum(LOST in p.text for i, p in enumerate(pieces) if i not in new)
+        return hits > 0, "".join([*out, text[at:]]) if new else text, hits
 
 
 def pair_model(df: DataFrame, text: str) -> PairModel:
@@ -310,10 +521,13 @@ def restore(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key, wrongly_decoded, restored, n_pieces`` for every row of ``df``.
 
     Adjacent characters are scored by what their pair adds to the mutual information of adjacent characters in the corpus;
-    the maximal scoring segments of a text are its improbable runs. Only inside them the inverse mappings are tested: text
-    written as UTF-8 and read as one of ``READ_AS`` (up to ``MOST_LAYERS`` times over), or written in one single-byte encoding
-    and read as another. A mapping holds when it makes the piece likelier under the corpus's pairs. Where the wrong decoding
-    lost characters for good (U+FFFD), the text is found, and that piece stays as it is.
+    the maximal scoring segments of a text are its improbable runs. Only the pieces of non-ASCII text that such a run touches
+    are tested with the inverse mappings: text written as UTF-8 and read as one of ``READ_AS`` (any number of times over), or
+    written in one single-byte encoding and read as another, the same for all pieces. The evidence is the likelihood under
+    the corpus's pairs, beyond a margin that grows with the number of mappings tried, together with :func:`oddness`, what
+    stands where no language puts it: rare characters alone are no sign of a wrong encoding. Without odd characters several
+    places of a text must agree. Where the wrong decoding lost characters for good (U+FFFD), the text is found, and that
+    piece stays as it is.
 
     Cases: null, empty and pure ASCII texts come out unchanged and not wrongly decoded. Odd white space on its own (no-break
     space, zero-width characters, soft hyphen) is no case. Texts of any length are handled whole. An empty table gives no rows.

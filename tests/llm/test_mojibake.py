@@ -57,10 +57,69 @@ def test_segments_against_brute_force():
         assert all(any(s <= i < e for s, e in got) for i, v in enumerate(x) if v > 0)
 
 
+def _one(c: str, read: str, written: str) -> str | None:
+    v = int(M._exchanged(c)[list(M._EXCHANGE).index((read, written))])
+    return chr(v) if v else None
+
+
 def test_inverse_mappings():
     assert M._as_utf8("Ã¼ber", "cp1252") == "über" and M._as_utf8("Ü nicht", "cp1252") == "Ü nicht"
-    assert M._as_bytes("ý", M._EXCHANGE["cp1252", "cp1254"]) == "ı" and M._as_bytes("\xa0", M._EXCHANGE["cp1252", "cp437"]) is None
-    assert M._as_bytes("я", M._EXCHANGE["cp1252", "cp437"]) is None
+    assert _one("ý", "cp1252", "cp1254") == "ı" and _one("\xa0", "cp1252", "cp437") == "\xa0" and _one("a", "cp1252", "cp437") == "a"
+    assert _one("я", "cp1252", "cp437") is None
+
+
+def test_oddness():
+    for t in ("pr¸fen", "liberÛ", "m│ by", "Revisi≤n", "caf√©", "ÐÒÏÓØÂÁ", "EmpfΣnger", "Prⁿf", "cafÚ", "Ç98"):
+        assert M.oddness(t) > 0, t
+    for t in ("Ø 12 mm, 5 kΩ, 20 °C", "«CAFÉ» “x” ‘y’ d’été", "a≤b, x²", "┌──┐ │ x │", "Acme™ ½ €", "żółć", "TÜRKİYE'DE", "日本語 abc", "Ёлка"):
+        assert M.oddness(t) == 0, t
+
+
+#: Text that merely uses uncommon characters; none of it is in the corpus.
+UNCOMMON = [
+    "Crème brûlée à la carte: 12 £", "naïve façade — “œuvre” … fin", "Größe 5 µm ± 0,2 °C, § 4 der Satzung", "© 2024 Acme™ – 20€", "Příliš žluťoučký kůň úpěl ďábelské ódy", "Η γρήγορη αλεπού πηδάει πάνω από το σκυλί",
+    "Tiếng Việt có rất nhiều dấu thanh", "∑ xᵢ² ≤ ∞, √2 ≈ 1.41, α ∈ ℝ, a≤b", "القطة تجلس على السجادة", "שלום עולם, מה שלומך", "สวัสดีชาวโลก", "こんにちは世界、テストです", "საქართველო მშვენიერია", "«СССР» и «США» — 20 лет…", "«CAFÉ», «ÉTÉ» et «THÉÂTRE»",
+    "Það er þannig að ég veit þú ert góður maður", "Þetta reddast, æði góð hugmynd frá þér", "Ett rött äpple åt Åsa; smörgåsbord på Öland", "Őrült árvíztűrő tükörfúrógép", "Şişli'de güneşli bir gün, ığdır", "┌──────┬─────┐\n│Name  │Wert │\n├──────┼─────┤\n│Größe │ 5 m³│\n└──────┴─────┘",
+    "¿Qué tal? ¡Olé! Año 2º, 3ª planta", "Hôtel « L’Été » — n° 5, 50 % de 3 500 €", "5 × 3 = 15; 10 ÷ 2; x² + y² = z²; ½ cup; 25 °F", "Łódź, Kraków; żółć; gęślą jaźń", "Дърво и ябълка; ћирилица: љубав, њега, џеп", "Ще ходим ли до морето?", "A→B ⇒ C ↔ D • item ‣ sub ▪ x ■ y",
+    "Temperature: −5 °C … +10 °C, ΔT = 3 K, 5 kΩ, 10 µF", "Mañana “comillas” ‘simples’ „deutsche“ ‚einfach‘ ‹x› »y«", "Ça va? Où ça? Noël à Nîmes, cœur, Æther, Þór, ð", "100 ¥, 50 ¢, 20 ₺, 30 ₽, 5 ₹, £3", "TÜRKİYE'DE İSTANBUL", "Straße 5¼ Zoll, 3½\" Diskette, m³/h", "‰ † ‡ ¶ § ¤ ¦ ¬ ¯", "😀 emoji 👍🏽 test 🚨",
+    "한국어 텍스트입니다", "中文文本，测试。", "हिन्दी पाठ", "ĝis revido, ĉu vi? ŝafo ĵaŭdo", "Ünïcödé Mëtal Ümläuts", "IJsland, één, café’s, coördinatie", "Būtų šalta žiemą; ėjęs; Rīga, Jūrmala, ķēve", "x ≠ y, p ∧ q ∨ ¬r, A ∩ B ∪ C, ∀x ∃y", "½ ⅓ ¾ ⁿ ₂ H₂O CO₂ m² km³",
+    # written after the rules were settled
+    "Rødgrød med fløde på Bornholm, ærø og ål", "În România, țara și orașul Brașov; ăsta-i bun", "Õhtul jõudis rüütel öösel koju, šokk", "L'àvia d'Eivissa va dir: «col·laboració», què?", "Їжак і ґава їдять свіжі ягоди; під’їзд", "Њутнове љуте џокеје ђак ћути", "Ζ=√(R²+X²), θ=45°, λ≈500 nm",
+    "Preis: 1’250.– CHF (inkl. 7,7 % MwSt.) · Stück", "فارسی: سلام دنیا، ۱۲۳", "Ελλάδα & Κύπρος: 5 €/κιλό", "Übergrößenträger – Maßkrüge à 1 ℓ", "Ἀχιλλῆος οὐλομένην", "Kız çocuğu şöyle söyledi: ‘ığdır’ıın’", "J’ai reçu 3 œufs, 2 æufs; ÿ, Ÿ, ï", "Číslo účtu: 5 ks × 3 ± 2 §", "naïveté coöperate résumé; El Niño; São; Zoë",
+    "Привет, мир! «Ёлки-палки» — №7; 5–6 °C", "Tschüß; ẞ; groß", "Dž, Lj, Nj; đak; čaša; žaba; šećer", "Øre Åse Æble: 10 øre", "Kapcsolódó §-ok: 5. § (2) bek. „idézet”", "¹ siehe Fußnote², ebd.³ – S. 12 ff.",
+]
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    return df, M.pair_model(df, "text")
+
+
+@pytest.mark.parametrize("times", [1, 10])
+def test_uncommon_text_is_left_alone(documents, times):
+    """Neither found nor changed, beside a small corpus and one ten times as large."""
+    model = documents[1]
+    restorer = M.Restorer(M.PairModel(model.codes, model.counts * times))
+    wrong = [t for t in [*UNCOMMON, *CLEAN] for found, new, _ in [restorer.text(t)] if found or new != t]
+    assert not wrong
+
+
+def test_unseen_scripts_are_restored(documents):
+    restorer = M.Restorer(documents[1])
+    for t in ("日本語のテキスト", "สวัสดีชาวโลก", "საქართველო", "Příliš žluťoučký kůň úpěl", "ελληνικά κείμενο", "עברית שלום"):
+        assert restorer.text(t.encode().decode("latin-1"))[:2] == (True, t)
+    found, new, _ = restorer.text("Tiếng Việt có rất nhiều dấu".encode().decode("latin-1"))
+    assert found and "Việt" in new and "rất nhiều dấu" in new
+
+
+def test_found_alike_in_a_larger_corpus(documents):
+    """What is found doesn't depend on how large the corpus is."""
+    df, model = documents
+    small, large = M.Restorer(model), M.Restorer(M.PairModel(model.codes, model.counts * 10))
+    texts = [r.text for r in df.filter("text IS NOT NULL").collect()]
+    here, there = [small.text(t)[0] for t in texts], [large.text(t)[0] for t in texts]
+    assert sum(here) > 50 and sum(a != b for a, b in zip(here, there, strict=True)) <= 0.02 * sum(here)
 
 
 def test_empty_table(spark):
