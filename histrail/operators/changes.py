@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import hadoop_path
+from ..session import hadoop_path, materialise, shuffle_width
 
 #: Keys in one bucket, about.
 KEYS_PER_BUCKET = 100_000
@@ -46,6 +48,10 @@ def merge(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
+
+
 def present(folded: DataFrame) -> DataFrame:
     """The instances that exist: ``engine_id, process_instance_id, stream_sequence, state``."""
     alive = F.col("last_seq").isNotNull() & (F.col("deleted_seq").isNull() | (F.col("last_seq") > F.col("deleted_seq")))
@@ -53,91 +59,131 @@ def present(folded: DataFrame) -> DataFrame:
     return folded.filter(alive).select(*KEY, F.col("last_seq").alias("stream_sequence"), F.when(kept, F.col("state")).otherwise(F.lit("ACTIVE")).alias("state"))
 
 
+#: Buckets whose folders one part of the manifest names.
+BUCKETS_PER_PART = 1_024
+_COLUMNS = [c.split()[0] for c in STATE.split(", ")]
+
+
 class BucketedTable:
     """A table of folded states: hash buckets of immutable files, and a manifest that says which file set is current.
 
-    ``root/manifest-N.json`` maps bucket to folder. A change set is routed to its buckets; only those are read, merged
-    with their changes and written anew under ``root/data/<token>``; the new manifest is written beside the old one and
-    renamed into place, so a reader sees all of a change set or none of it, and a failed or repeated apply does no harm.
+    ``root/manifest-N.json`` names the parts of version N; a part maps buckets to folders. A change set is folded once and
+    routed to its buckets; only those are read, merged with their changes and written anew under ``root/data/<token>``. The
+    parts that name them are written anew, then the manifest, which is the commit: it is created exclusively (a store where
+    two writers can create one file twice needs a lock beside it), and a manifest that isn't whole counts as none. So a
+    reader sees all of a change set or none of it, and a failed or repeated apply does no harm.
     """
 
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
-        """``buckets`` is fixed when the table is made; an existing table keeps its own."""
+        """``buckets`` is taken when the table is made; an existing table keeps its own, see :meth:`rebucket`."""
         self.spark, self.root = spark, root.rstrip("/")
         version, manifest = self._current()
         if version < 0:
             if not buckets:
                 raise ValueError("a new table needs its number of buckets")
-            self._commit(0, {"buckets": int(buckets), "files": {}})
-            manifest = {"buckets": int(buckets)}
+            manifest = {"buckets": int(buckets), "parts": {}}
+            self._commit(0, manifest)
         self.buckets = manifest["buckets"]
 
-    def _current(self) -> tuple[int, dict]:
-        path, fs = hadoop_path(self.spark, self.root)
-        if not fs.exists(path):
-            return -1, {}
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        versions = [int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json")]
-        if not versions:
-            return -1, {}
-        last, _ = hadoop_path(self.spark, f"{self.root}/manifest-{max(versions)}.json")
-        stream = fs.open(last)
+    def _load(self, name: str) -> dict:
+        path, fs = hadoop_path(self.spark, f"{self.root}/{name}")
+        stream = fs.open(path)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return max(versions), json.loads(text)
 
-    def _commit(self, version: int, manifest: dict) -> None:
-        draft, fs = hadoop_path(self.spark, f"{self.root}/.draft-{uuid.uuid4().hex}")
-        final, _ = hadoop_path(self.spark, f"{self.root}/manifest-{version}.json")
-        out = fs.create(draft, False)
+    def _store(self, name: str, content: dict) -> None:
+        path, fs = hadoop_path(self.spark, f"{self.root}/{name}")
+        out = fs.create(path, False)
         try:
-            out.write(bytearray(json.dumps(manifest), "utf-8"))
+            out.write(bytearray(json.dumps(content), "utf-8"))
         finally:
             out.close()
-        if fs.exists(final) or not fs.rename(draft, final):
-            fs.delete(draft, False)
-            raise RuntimeError(f"another writer committed version {version}")
+
+    def _versions(self) -> list[int]:
+        path, fs = hadoop_path(self.spark, self.root)
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted((int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json")), reverse=True)
+
+    def _current(self) -> tuple[int, dict]:
+        for v in self._versions():
+            try:
+                return v, self._load(f"manifest-{v}.json")
+            except json.JSONDecodeError:  # its writer didn't get to the end
+                continue
+        return -1, {}
+
+    def _commit(self, version: int, manifest: dict) -> None:
+        try:
+            self._store(f"manifest-{version}.json", manifest)
+        except Py4JJavaError as e:
+            raise RuntimeError(f"another writer committed version {version}") from e
+
+    def _files(self, manifest: dict, parts: Iterable[int] | None = None) -> dict[int, str]:
+        """Bucket to folder, of all parts or of some."""
+        names = manifest["parts"].items() if parts is None else [(str(p), manifest["parts"][str(p)]) for p in parts if str(p) in manifest["parts"]]
+        return {int(b): f for _, name in names for b, f in self._load(name).items()}
 
     def _read(self, folders: list[str]) -> DataFrame:
         schema = f"__bucket int, {STATE}"
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def apply(self, changes: DataFrame) -> int:
-        """Apply one change set (columns of :func:`fold`); returns the version it made. An empty set changes nothing."""
-        version, manifest = self._current()
-        bucket = F.pmod(F.xxhash64(*KEY), F.lit(self.buckets)).cast("int")
-        routed = fold(changes).withColumn("__bucket", bucket)
-        files: dict[str, str] = manifest["files"]
+    def _write(self, rows: DataFrame, version: int, manifest: dict, buckets: int) -> int:
+        """Write rows as new files of their buckets and commit them."""
         token = f"v{version + 1}-{uuid.uuid4().hex[:8]}"
         target = f"{self.root}/data/{token}"
-        if files:
-            # at most ``buckets`` numbers come to the driver
-            touched = [r[0] for r in routed.select("__bucket").distinct().collect()]
-            base = self._read([files[str(b)] for b in touched if str(b) in files])
-            new = merge(base, routed.select("__bucket", *[c.split()[0] for c in STATE.split(", ")]))
-        else:
-            new = routed
         # the sort keeps one writer open at a time; the spare column puts the bucket into the file as well
-        new.repartition("__bucket").sortWithinPartitions("__bucket", *KEY).withColumn("folder", F.col("__bucket")).write.partitionBy("folder").parquet(target)
+        tasks = [buckets // 8] if buckets // 8 > shuffle_width(self.spark) else []  # a table of many buckets needs more than the session's
+        rows.repartition(*tasks, "__bucket").sortWithinPartitions("__bucket", *KEY).withColumn("folder", F.col("__bucket")).write.partitionBy("folder").parquet(target)
         path, fs = hadoop_path(self.spark, target)
         written = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
         if not written:
             return version
-        fresh = {n.split("=")[1]: f"{target}/{n}" for n in written}
-        self._commit(version + 1, {"buckets": self.buckets, "files": files | fresh})
-        return version + 1
+        fresh: dict[int, dict[int, str]] = {}
+        for n in written:
+            bucket = int(n.split("=")[1])
+            fresh.setdefault(bucket // BUCKETS_PER_PART, {})[bucket] = f"{target}/{n}"
+        parts = dict(manifest["parts"])
+        for part, files in fresh.items():
+            name = f"part-{part}-{token}.json"
+            self._store(name, self._files(manifest, [part]) | files)
+            parts[str(part)] = name
+        self._commit(max([version, *self._versions()]) + 1, {"buckets": buckets, "parts": parts})
+        self.buckets = buckets
+        return self._current()[0]
+
+    def apply(self, changes: DataFrame) -> int:
+        """Apply one change set (columns of :func:`fold`); returns the version it made. An empty set changes nothing."""
+        version, manifest = self._current()
+        routed = fold(changes).withColumn("__bucket", bucket_of(self.buckets)).select("__bucket", *_COLUMNS)
+        if not manifest["parts"]:
+            return self._write(routed, version, manifest, self.buckets)
+        routed = materialise(routed, "change-set")  # folded once: its buckets are asked for, then it is merged
+        touched = [r[0] for r in routed.select("__bucket").distinct().collect()]  # at most ``buckets`` numbers
+        files = self._files(manifest, sorted({b // BUCKETS_PER_PART for b in touched}))
+        base = self._read([files[b] for b in touched if b in files])
+        return self._write(merge(base, routed), version, manifest, self.buckets)
+
+    def rebucket(self, buckets: int) -> int:
+        """Spread the table over another number of buckets, as one version of its own."""
+        version, manifest = self._current()
+        rows = self.read().withColumn("__bucket", bucket_of(buckets)).select("__bucket", *_COLUMNS)
+        return self._write(rows, version, {"parts": {}}, buckets)
+
+    def folders(self) -> dict[int, str]:
+        """The current folder of each bucket that has one."""
+        return self._files(self._current()[1])
 
     def read(self) -> DataFrame:
         """All folded states of the current version, deleted keys included (a late record must still find its delete)."""
-        _, manifest = self._current()
-        return self._read(sorted(manifest["files"].values())).select(*[c.split()[0] for c in STATE.split(", ")])
+        return self._read(sorted(self.folders().values())).select(*_COLUMNS)
 
     def vacuum(self) -> int:
-        """Delete files that the current manifest no longer names, and older manifests; returns how many folders went."""
+        """Delete files that the current manifest no longer names, older manifests and parts; returns how many folders went.
+        Only while nobody writes."""
         version, manifest = self._current()
-        keep = set(manifest["files"].values())
+        keep = set(self._files(manifest).values())
         base, fs = hadoop_path(self.spark, f"{self.root}/data")
         gone = 0
         if fs.exists(base):
@@ -149,8 +195,9 @@ class BucketedTable:
                     gone += 1
                 if len(stale) == len(inner):
                     fs.delete(batch.getPath(), True)
+        named = {f"manifest-{version}.json", *manifest["parts"].values()}
         for s in fs.listStatus(hadoop_path(self.spark, self.root)[0]):
             name = s.getPath().getName()
-            if name.startswith("manifest-") and name != f"manifest-{version}.json":
+            if name.startswith(("manifest-", "part-")) and name not in named:
                 fs.delete(s.getPath(), False)
         return gone
