@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from histrail.operators import intervals as I
 
@@ -41,12 +42,33 @@ def test_against_brute_force(spark, seed, per_shard):
     assert {tuple(p) for p in I.periods(df, "e", "s", "t", per_shard=per_shard).collect()} == periods
 
 
-def test_many_huge_entities_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(I, "BROADCAST_ENTITIES", 1)
+def test_many_huge_entities(spark, monkeypatch):
+    """With more shards than there may be, they are larger."""
     rows = [(f"e{k % 5}", k * 10, k * 10 + k % 17, None) for k in range(200)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {tuple(g) for g in I.gaps(df, "e", "s", "t", per_shard=7).collect()}
-    assert got == brute(rows)[1]
+    for most in (100_000, 10):
+        monkeypatch.setattr(I, "MOST_SHARDS", most)
+        assert {tuple(g) for g in I.gaps(df, "e", "s", "t", per_shard=7).collect()} == brute(rows)[1]
+
+
+def shard_sizes(df, per_shard):
+    clean = I._clean(df, "e", "s", "t")
+    return [r[0] for r in I._sharded(clean, I.shard_cuts(clean.select("__e", "__s"), per_shard)).groupBy("__e", "__k").count().select("count").collect()]
+
+
+@pytest.mark.parametrize("kind", ["outlier", "burst", "equal starts"])
+def test_shards_are_equal_by_rank(spark, kind):
+    """100,000 intervals in shards of about 2,000: one far-off start, most of them within a moment, or all at one start."""
+    n, bound = 100_000, 2_000
+    start = {"outlier": F.when(F.col("id") == 0, -(10**12)).otherwise(F.col("id") * 10), "burst": F.when(F.col("id") % 10 > 0, F.col("id") % 50 + 10**9).otherwise(F.col("id") * 10**6), "equal starts": F.lit(5)}[kind]
+    df = spark.range(n).select(F.lit("a").alias("e"), start.cast("long").alias("s"), F.col("id")).select("e", "s", (F.col("s") + 3 + F.col("id") % 50_000).alias("t"))
+    sizes = shard_sizes(df, bound)
+    assert max(sizes) <= 2 * bound and len(sizes) > 10
+
+
+def test_copies_of_one_interval_are_one(spark):
+    df = spark.createDataFrame([("a", 1, 5, "")] * 50 + [("a", 9, 12, "")] * 50, SCHEMA)
+    assert [tuple(g) for g in I.gaps(df, "e", "s", "t", per_shard=3).collect()] == [("a", 5, 9)]
 
 
 def test_edges(spark):
