@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +11,23 @@ from ..session import materialise
 SPLIT_EVERY = 16
 #: A node with so many children is a splitter as well, so that no walk piles up on it.
 BUSY_PARENT = 64
-#: Up to so many open walks are ended by one task instead of further rounds.
-ONE_TASK = 20_000
+#: A right-hand row that so many left-hand rows join is sent to all tasks instead; with more than ``MOST_BUSY`` times as many
+#: rows in all, the bound rises, so that no more than ``MOST_BUSY`` such rows are sent.
+BUSY_ROWS, MOST_BUSY = 100_000, 10_000
+
+
+def _join_busy(left: DataFrame, right: DataFrame, key: str, n_left: int, how: str = "left") -> DataFrame:
+    """Join by ``key``, unique on the right and not null: rows of keys that many left-hand rows have don't meet in one task."""
+    bound = max(BUSY_ROWS, -(-n_left // MOST_BUSY))
+    if n_left <= bound:
+        return left.join(right, key, how)
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > bound)
+    busy = [r[0] for r in counts.select(key).collect()]  # at most MOST_BUSY
+    if not busy:
+        return left.join(right, key, how)
+    names = F.broadcast(left.sparkSession.createDataFrame([(b,) for b in busy], f"{key} string"))
+    few = right.join(names, key, "left_semi")
+    return left.join(names, key, "left_anti").join(right, key, how).unionByName(left.join(names, key, "left_semi").join(F.broadcast(few), key, how))
 
 
 def _step(open_: DataFrame, targets: DataFrame) -> DataFrame:
@@ -24,55 +37,22 @@ def _step(open_: DataFrame, targets: DataFrame) -> DataFrame:
     return joined.select("node", F.col("__p").alias("ptr"), (F.col("dist") + F.col("__d")).alias("dist"), F.col("__f").alias("done"), F.concat("path", "__w").alias("path"))
 
 
-def _walk_on(rows: pd.DataFrame) -> pd.DataFrame:
-    """Doubling within one task: ``rows`` holds the open rows (``mine``) and the resolved ones that they point at."""
-    rows = rows.reset_index(drop=True)
-    place = {n: i for i, n in enumerate(rows["node"])}
-    first = np.array([place.get(p, -1) for p in rows["ptr"]], dtype=np.int64)
-    end, dist, done = rows["ptr"].to_numpy(dtype=object).copy(), rows["dist"].to_numpy(dtype=np.int64).copy(), rows["done"].to_numpy(dtype=bool).copy()
-    was_open, target = ~done, first.copy()
-    for _ in range(len(rows).bit_length() + 1):
-        open_ = np.flatnonzero(~done)
-        if not len(open_):
-            break
-        to = target[open_]
-        end[open_], dist[open_], done[open_], target[open_] = end[to], dist[open_] + dist[to], done[to], target[to]
-    paths = [list(p) if p is not None else None for p in rows["path"]]
-    mine = np.flatnonzero(was_open & done)
-    for i in mine[np.argsort(dist[mine], kind="stable")].tolist():  # the way of what it points at is shorter and known
-        if paths[i] is not None:
-            paths[i] = paths[i] + paths[int(first[i])]
-    out = pd.DataFrame({"node": rows["node"], "ptr": end, "dist": dist, "done": done, "path": [p if d else None for p, d in zip(paths, done, strict=True)]})
-    return out[rows["mine"].to_numpy(dtype=bool)]
-
-
-def _finish(open_: DataFrame, table: DataFrame) -> DataFrame:
-    """The last steps of at most ``ONE_TASK`` open rows, in one task: they and the rows that they point at."""
-    hit = table.join(open_.select(F.col("ptr").alias("node")).distinct(), "node", "left_semi").join(open_.select("node"), "node", "left_anti")
-    both = open_.withColumn("mine", F.lit(True)).unionByName(hit.withColumn("mine", F.lit(False)))
-    return both.groupBy(F.lit("all")).applyInPandas(_walk_on, "node string, ptr string, dist long, done boolean, path array<string>")
-
-
 def _resolve(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Follow every pointer (``node, ptr, dist, done, path``) until it is done. Returns the resolved rows and the nodes
     that never get there.
 
-    Only open rows move, and an inner join lets the adaptive planner broadcast them once they are few; when no more than
-    ``ONE_TASK`` are left, one task ends their walks. After r rounds a row is open when its way is longer than 2**r. The nodes
-    on a way of length d that are still open are d - 2**r of the u open ones, so a way that ends is no longer than u + 2**r:
+    Only open rows move, and an inner join lets the adaptive planner broadcast them once they are few. After r rounds a row is
+    open when its way is longer than 2**r. The nodes on a way of length d that are still open are d - 2**r of the u open ones, so a way that ends is no longer than u + 2**r:
     once 2**r reaches that, what is open runs in circles.
     """
     resolved, open_, table = rows.filter("done"), rows.filter(~F.col("done")), rows
     left, rounds = open_.count(), 0
     longest = left + 1
-    while left > ONE_TASK and 2**rounds < longest:
+    while left and 2**rounds < longest:
         moved = materialise(_step(open_, table), f"{name}-{rounds}")
         resolved, open_ = resolved.unionByName(moved.filter("done")), moved.filter(~F.col("done"))
         table, rounds, left = resolved.unionByName(open_), rounds + 1, open_.count()
         longest = min(longest, left + 2**rounds)
-    if 0 < left <= ONE_TASK:
-        ended = materialise(_finish(open_, table), f"{name}-end")
-        resolved, open_ = resolved.unionByName(ended.filter("done")), ended.filter(~F.col("done"))
     return resolved, open_.select("node")
 
 
@@ -98,18 +78,22 @@ def hierarchy(nodes: DataFrame, node: str, parent: str, *, paths: bool = False)
     rows still walking take part in the next. Cycles without a splitter are the walks that provably never end, see
     :func:`_resolve`. With ``paths`` the result is as large as the sum of all depths; without, it is one short row a node.
     """
-    # read five times below, so what it comes from is worked out once
+    # read several times below, so what it comes from is worked out once
     base = materialise(nodes.select(F.col(node).alias("node"), F.col(parent).alias("parent")).filter(F.col("node").isNotNull()), "tree-nodes")
     no_path = F.lit(None).cast("array<string>")
+    # rows without a parent, often most, are roots and take no part in any join
+    below_some = base.filter(F.col("parent").isNotNull())
+    n_below = below_some.count()
     # in-degree per parent: one hash aggregate, then one join of distinct parents with the nodes
-    parents = base.filter(F.col("parent").isNotNull()).groupBy("parent").agg(F.count(F.lit(1)).alias("__k"))
+    parents = below_some.groupBy("parent").agg(F.count(F.lit(1)).alias("__k"))
     known = parents.join(base.select(F.col("node").alias("parent"), F.col("parent").alias("__up")), "parent", "inner")
     # whether the parent is itself a root needs its own parent to exist: ask for the parents of parents in the same way
     exists = base.select(F.col("node").alias("__up"), F.lit(True).alias("__has"))
-    known = known.join(exists, "__up", "left")
+    of_roots = known.filter(F.col("__up").isNull()).withColumn("__has", F.lit(None).cast("boolean"))
+    known = _join_busy(known.filter(F.col("__up").isNotNull()), exists, "__up", n_below).unionByName(of_roots)
     hashed = F.pmod(F.xxhash64("parent"), F.lit(SPLIT_EVERY)) == 0
     known = known.select("parent", F.col("__has").isNull().alias("__root"), (hashed | (F.col("__k") >= BUSY_PARENT)).alias("__split"))
-    linked = base.join(known, "parent", "left").select("node", "parent", F.col("__root").isNotNull().alias("__linked"), "__root", "__split")
+    linked = _join_busy(below_some, known, "parent", n_below).select("node", "parent", F.col("__root").isNotNull().alias("__linked"), "__root", "__split")
     linked = materialise(linked, "tree-links")
 
     walk = linked.filter("__linked").select(
@@ -135,7 +119,8 @@ def hierarchy(nodes: DataFrame, node: str, parent: str, *, paths: bool = False)
     rings = circular.select(F.col("node").alias("__n"), F.lit("").alias("__root"), F.lit(-1).cast("long").alias("__d"), no_path.alias("__w"))
     answers = tops.unionByName(rings)
     bad: Column = F.col("__root").eqNullSafe("")
-    ended = walked.join(answers, F.col("ptr") == F.col("__n"), "left").select(
+    answers = answers.withColumnRenamed("__n", "ptr")
+    ended = _join_busy(walked, answers, "ptr", n_below).select(
         "node",
         F.coalesce("__root", "ptr").alias("root"),
         F.when(bad, F.lit(-1)).otherwise(F.col("dist") + F.coalesce("__d", F.lit(0))).cast("long").alias("depth"),
@@ -143,13 +128,12 @@ def hierarchy(nodes: DataFrame, node: str, parent: str, *, paths: bool = False)
     )
     never = endless.select("node", F.lit("").alias("root"), F.lit(-1).cast("long").alias("depth"), no_path.alias("path"))
     below = ended.unionByName(never)
-    top = linked.filter(~F.col("__linked")).select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("depth"), (F.array().cast("array<string>") if paths else no_path).alias("path"))
+    roots = linked.filter(~F.col("__linked")).select("node").unionByName(base.filter(F.col("parent").isNull()).select("node"))
+    top = roots.select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("depth"), (F.array().cast("array<string>") if paths else no_path).alias("path"))
     answer = below.unionByName(top)
     if paths:  # walks are kept from the node upwards; the path reads from the root down
         answer = answer.withColumn("path", F.when(F.col("path").isNotNull(), F.concat(F.reverse("path"), F.array("node"))))
-    else:
-        answer = answer.drop("path")
-    return base.join(answer, "node", "left").withColumnRenamed("node", "__node").select(F.col("__node").alias("node"), "parent", "root", "depth", *(["path"] if paths else []))
+    return base.join(answer, "node", "left").select("node", "parent", "root", "depth", *(["path"] if paths else []))
 
 
 def _rings(endless: DataFrame) -> DataFrame:
@@ -202,11 +186,24 @@ def all_descendants(nodes: DataFrame, node: str, parent: str) -> DataFrame:
 def descendants(tree: DataFrame) -> DataFrame:
     """``node, n_descendants, deepest``: how many nodes lie below each node that has any, and how far down.
 
-    ``tree`` is the result of :func:`hierarchy` with paths. The pairs of ancestor and descendant are counted on the map side.
-    Nodes in and below cycles have no path and so no row here; :func:`all_descendants` has theirs as well.
+    ``tree`` is the result of :func:`hierarchy`. No pair of ancestor and descendant is made: in round r every node knows how
+    many nodes lie fewer than 2**r steps below it, and adds what those exactly 2**r steps below know; the number of rounds
+    is the logarithm of the greatest depth. Nodes in and below cycles have no row here; :func:`all_descendants` has theirs.
     """
-    pairs = tree.filter(F.size("path") > 1).select(F.posexplode(F.slice("path", 1, F.size("path") - 1)).alias("at", "node"), "depth")
-    return pairs.groupBy("node").agg(F.count(F.lit(1)).alias("n_descendants"), F.max(F.col("depth") - F.col("at")).alias("deepest"))
+    ended = tree.filter(F.col("depth") >= 0)
+    rows = materialise(ended.select("node", F.when(F.col("depth") > 0, F.col("parent")).alias("up"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("deepest")), "below-0")
+    rounds = 0
+    left = rows.filter(F.col("up").isNotNull()).count()
+    while left:
+        more = rows.filter(F.col("up").isNotNull()).groupBy(F.col("up").alias("node")).agg(F.sum("n").alias("__n"), F.max("deepest").alias("__d"))
+        grown = rows.join(more, "node", "left").select("node", "up", (F.col("n") + F.coalesce("__n", F.lit(0))).alias("n"), F.coalesce(F.col("__d") + 2**rounds, "deepest").alias("deepest"))
+        rounds += 1
+        # who has nobody so far up is done with asking
+        further = rows.filter(F.col("up").isNotNull()).select(F.col("node").alias("up"), F.col("up").alias("__up"))
+        asking = _join_busy(grown.filter(F.col("up").isNotNull()), further, "up", left)
+        rows = materialise(asking.select("node", F.col("__up").alias("up"), "n", "deepest").unionByName(grown.filter(F.col("up").isNull())), f"below-{rounds}")
+        left = rows.filter(F.col("up").isNotNull()).count()
+    return rows.filter(F.col("n") > 1).select("node", (F.col("n") - 1).alias("n_descendants"), "deepest")
 
 
 def descendants_of(tree: DataFrame, ancestors: DataFrame) -> DataFrame:

@@ -214,7 +214,7 @@ def p7_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many instances each instance called, directly or through others, and how deep; without those in and below cycles,
     as its SQL has it. All are in :func:`p7_descendant_ids`."""
-    d = hierarchy.descendants(_tree(spark, sf_dir, paths=True))
+    d = hierarchy.descendants(_tree(spark, sf_dir, paths=False))
     return d.select(F.col("node").alias("process_instance_id"), "n_descendants", "deepest")
 
 
