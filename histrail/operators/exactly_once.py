@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -30,7 +30,7 @@ MESSAGE = "source string, message_id string, arrival_no long, seen_at timestamp"
 _HASHED = "bucket int, h1 long, h2 long"
 _LOCAL = f"{_HASHED}, {MESSAGE}, surplus array<long>"
 _OUT = "source string, message_id string, arrival_no long, verdict string, seen_ms long"
-_STATE = "h1 binary, h2 binary, first_arrival binary, last_seen_ms binary"
+_STATE = "h1 binary, h2 binary, first_arrival binary, last_seen_ms binary, gone binary"
 _STATE_COLUMNS = ("h1", "h2", "first", "seen")
 
 
@@ -51,12 +51,15 @@ def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = g.filter(more)
         parts = [keep]
         if some.num_rows:
-            lists = some.column("arrival_no_list").to_pylist()
-            for numbers, lowest in zip(lists, some.column("arrival_no_min").to_pylist(), strict=True):
-                numbers.remove(lowest)
-            salted = pa.array([-1 - n[0] % PASS_SALTS for n in lists], pa.int32())
-            nulls = pa.nulls(some.num_rows, pa.int64())
-            parts.append(pa.table([salted, *[some.column(n) for n in names[1:]], nulls, some.column("seen_at_max"), pa.array(lists, pa.list_(pa.int64()))], schema=schema))
+            lists = some.column("arrival_no_list").combine_chunks()
+            numbers, parent = lists.flatten().to_numpy(), pc.list_parent_indices(lists).to_numpy()
+            # all but the first of each list that is its least
+            lowest = np.flatnonzero(numbers == some.column("arrival_no_min").to_numpy()[parent])
+            rest = np.delete(numbers, lowest[np.unique(parent[lowest], return_index=True)[1]])
+            ends = np.cumsum(pc.list_value_length(lists).to_numpy() - 1)
+            salted = pa.array((-1 - rest[np.concatenate([[0], ends[:-1]])] % PASS_SALTS).astype(np.int32))
+            shorter = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(rest))
+            parts.append(pa.table([salted, *[some.column(n) for n in names[1:]], pa.nulls(some.num_rows, pa.int64()), some.column("seen_at_max"), shorter], schema=schema))
         yield from pa.concat_tables(parts).combine_chunks().to_batches()
 
 
@@ -64,18 +67,24 @@ def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupSta
     """A bucket's state holds, for each identifier seen, its 128-bit hash and the lowest arrival number so far, as arrays.
 
     Whatever the order of arrival, every copy but the lowest is put out as surplus exactly once: a copy that is not lower at
-    once, a displaced lowest when a lower one comes. One sort of state and batch settles the whole bucket.
+    once, a displaced lowest when a lower one comes. One sort of state and batch settles the whole bucket. Of an identifier
+    that has expired 32 bits remain in ``gone``, an eighth of what it took. A copy that has these bits, whatever its own
+    time, is put out as late, to be settled by a lookup in the output; its identifier doesn't come back into the state.
     """
     watermark = max(0, state.getCurrentWatermarkMs())
-    old = dict(zip(_STATE_COLUMNS, (np.frombuffer(b, dtype=np.int64) for b in state.get), strict=True)) if state.exists else {c: np.zeros(0, np.int64) for c in _STATE_COLUMNS}
+    old = {c: np.zeros(0, np.int64) for c in _STATE_COLUMNS}
+    gone = np.zeros(0, np.uint32)
+    if state.exists:
+        *columns, bits = state.get
+        old, gone = dict(zip(_STATE_COLUMNS, (np.frombuffer(b, dtype=np.int64) for b in columns), strict=True)), np.frombuffer(bits, dtype=np.uint32)
 
     def store(h1: np.ndarray, h2: np.ndarray, first: np.ndarray, seen: np.ndarray) -> None:
         live = seen + keep_ms >= watermark
-        if live.any():
-            state.update(tuple(np.ascontiguousarray(x[live]).tobytes() for x in (h1, h2, first, seen)))
-            state.setTimeoutDuration(3_600_000)
-        elif state.exists:
-            state.remove()
+        left = np.union1d(gone, h2[~live].astype(np.uint32)) if not live.all() else gone
+        if live.any() or len(left):
+            state.update((*(np.ascontiguousarray(x[live]).tobytes() for x in (h1, h2, first, seen)), left.tobytes()))
+            if live.any():
+                state.setTimeoutDuration(3_600_000)
 
     if state.hasTimedOut:
         store(*(old[c] for c in _STATE_COLUMNS))
@@ -102,12 +111,14 @@ def _judge(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupSta
     verdict = np.full(len(h1), "", dtype=object)
     verdict[~head] = "surplus"
     lead = head & fresh
-    # nothing known: new, unless its time lies so far back that the state of an earlier copy may be gone
-    verdict[lead] = np.where(known[group[lead]], "lowered", np.where(newest[group[lead]] + keep_ms < watermark, "late", "kept"))
+    verdict[lead] = np.where(known[group[lead]], "lowered", "kept")
+    # nothing known, or known no more: all its copies go to the lookup
+    late = ~known & np.isin(h2[starts].astype(np.uint32), gone)
+    verdict[late[group]] = "late"
     out = np.flatnonzero(verdict != "")
     # a displaced row of the state has its names from the row that leads its group, which is new
     source_row = np.where(fresh[out], order[out], order[starts[group[out]]]) - n_old
-    store(h1[starts], h2[starts], arrival[starts], newest)
+    store(h1[starts[~late]], h2[starts[~late]], arrival[starts[~late]], newest[~late])
     yield pd.DataFrame({"source": new["source"].to_numpy()[source_row], "message_id": new["message_id"].to_numpy()[source_row], "arrival_no": arrival[out], "verdict": verdict[out], "seen_ms": newest[group[out]]})
 
 
@@ -145,13 +156,15 @@ class _Sink:
         path, fs = hadoop_path(spark, f"{self.root}/raw/batch={number}/verdict=late")
         if not fs.exists(path):
             return
-        # the lookup reads what was kept before this batch; a copy found there makes the higher arrival number surplus
-        old = current_first(spark, self.root, before=number)
-        hit = late.join(old.select("source", "message_id", F.col("arrival_no").alias("old_no")), ["source", "message_id"], "left")
-        keep = F.least("arrival_no", "old_no")
-        rows = F.when(F.col("old_no").isNull(), F.array(F.struct(F.col("arrival_no"), F.lit("kept").alias("verdict"))))
-        rows = rows.otherwise(F.array(F.struct(F.greatest("arrival_no", "old_no").alias("arrival_no"), F.lit("surplus").alias("verdict")), F.struct(keep.alias("arrival_no"), F.lit("lowered").alias("verdict"))))
-        out = hit.select("source", "message_id", F.explode(rows).alias("r"), "seen_ms").select("source", "message_id", "r.arrival_no", "r.verdict", "seen_ms")
+        # what was kept before this batch, of the late identifiers only: the semi join comes before anything is shuffled by
+        # identifier, as a broadcast or behind a Bloom filter while they are few
+        old = current_first(spark, self.root, before=number, among=late.select("source", "message_id").distinct())
+        every = late.withColumn("old", F.lit(False)).unionByName(old.select("source", "message_id", "arrival_no", F.lit(0).cast("long").alias("seen_ms"), F.lit(True).alias("old")))
+        one = Window.partitionBy("source", "message_id")
+        # one copy of each, the one kept before if there are equals; equal copies of one batch are told apart by their place
+        ranked = every.withColumn("first", F.row_number().over(one.orderBy("arrival_no", F.desc("old"))) == 1)
+        verdict = F.when(F.col("first"), F.when(F.max("old").over(one), "lowered").otherwise("kept")).otherwise("surplus")
+        out = ranked.withColumn("verdict", verdict).filter(~(F.col("first") & F.col("old"))).drop("first", "old")
         out.write.mode("overwrite").partitionBy("verdict").parquet(settled)
 
 
@@ -168,11 +181,13 @@ def _verdicts(spark: SparkSession, root: str) -> DataFrame:
     return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
 
 
-def current_first(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """The kept copy of each identifier: ``source, message_id, arrival_no``."""
+def current_first(spark: SparkSession, root: str, before: int | None = None, among: DataFrame | None = None) -> DataFrame:
+    """The kept copy of each identifier: ``source, message_id, arrival_no``; of all, or of those in ``among``."""
     v = _verdicts(spark, root).filter(F.col("verdict").isin("kept", "lowered"))
     if before is not None:
         v = v.filter(F.col("batch") < before)
+    if among is not None:
+        v = v.join(among, ["source", "message_id"], "left_semi")
     return v.groupBy("source", "message_id").agg(F.min("arrival_no").alias("arrival_no"))
 
 

@@ -82,7 +82,8 @@ def _messages(spark: SparkSession, sf_dir: str, table: str, files_per_batch: int
     (ids, time) = OUTBOXES[table]
     path = f"{sf_dir}/{table}.parquet"
     schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path}*")  # as a pattern, for a stream takes a single file only so
+    # as a pattern, for a stream takes a single file only so; the pattern fits this name only
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]")
     message = same_id(ids[0]) if len(ids) == 1 else F.concat(same_id(ids[0]), F.lit(":"), F.col(ids[1]))
     seen = F.coalesce(F.col(time), F.timestamp_micros(F.lit(0)))
     number = F.coalesce(F.col("arrival_no"), F.lit(2**63 - 1))

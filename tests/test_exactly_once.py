@@ -6,6 +6,8 @@ import pytest
 from histrail.operators import exactly_once as X
 from histrail.session import scratch
 
+from .conftest import SMALL
+
 T0 = datetime(2025, 1, 1)
 
 
@@ -68,6 +70,35 @@ def test_late_copies_after_expiry(spark):
     assert {(r.message_id, r.arrival_no) for r in X.current_first(spark, root).collect()} == {(m, min(x[2] for x in rows if x[1] == m)) for m in {x[1] for x in rows}}
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_copies_far_apart_in_time(spark, seed):
+    """Copies of one message are stamped months apart, before and after its state has expired, over many batches."""
+    r = random.Random(seed)
+    root, rows = scratch(spark, "x"), []
+    for b in range(6):
+        batch = [("a", f"m{r.randrange(12)}", r.randrange(10_000), T0 + timedelta(days=30 * b + r.choice([0, 0, 1, -400, 20]))) for _ in range(15)]
+        batch = [x for k, x in enumerate(batch) if x[2] not in {y[2] for y in batch[:k] + rows}]
+        rows += batch
+        write(spark, batch, f"{root}/in")
+        X.run_dedup(stream(spark, f"{root}/in"), root, 2, keep_ms=5 * 86_400_000)
+    assert found(spark, root) == want(rows)
+    assert {(g.message_id, g.arrival_no) for g in X.current_first(spark, root).collect()} == {(m, min(x[2] for x in rows if x[1] == m)) for m in {x[1] for x in rows}}
+    assert "late" in {g.verdict for g in X._verdicts(spark, root).select("verdict").distinct().collect()}
+
+
+def test_sibling_files_are_not_taken(spark, tmp_path):
+    """The stream takes the table itself and nothing whose name begins like it."""
+    import shutil
+
+    from histrail.plans import quality
+
+    for t in quality.OUTBOXES:
+        shutil.copy(f"{SMALL}/{t}.parquet", tmp_path)
+        shutil.copy(f"{SMALL}/{t}.parquet", tmp_path / f"{t}.parquet.old")
+    here = {tuple(g) for g in quality.p2_found(spark, str(tmp_path)).collect()}
+    assert here == {tuple(g) for g in quality.p2_found(spark, SMALL).collect()}
+
+
 def test_a_repeated_batch_overwrites_itself(spark):
     root = scratch(spark, "x")
     batch = spark.createDataFrame([("a", "m", 2, "surplus", 0), ("a", "m", 1, "kept", 0)], X._OUT)
