@@ -23,19 +23,20 @@ def _key_text(keys: Sequence[str]) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def _one_row_per_key(df: DataFrame, keys: Sequence[str], fields: Sequence[str], buckets: int) -> DataFrame:
-    """Exact copies collapse on the map side; of rows that disagree under one key the least stands for the key and is marked."""
-    row = F.struct(*[F.col(f) for f in fields])
-    one = df.groupBy(*keys).agg(F.min(row).alias("__least"), F.max(row).alias("__most"))
+def _one_row_per_key(df: DataFrame, keys: Sequence[str], fields: Sequence[str], buckets: int, unique: bool) -> DataFrame:
+    """Exact copies collapse on the map side; of rows that disagree under one key the least stands for the key and is marked.
+    Keys that are ``unique`` already need no shuffle of their own."""
     text = _key_text(keys)
-    return one.select(
-        F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int").alias("__bucket"),
-        F.xxhash64(text, F.lit(7)).alias("__hash"),
-        text.alias("__key"),
-        *[F.col(k) for k in keys],
-        *[F.col("__least")[f].alias(f) for f in fields],
-        (~F.col("__least").eqNullSafe(F.col("__most"))).alias("__split"),
-    )
+    if unique:
+        columns, split = [F.col(f) for f in fields], F.lit(False)
+    else:
+        row = F.struct(*[F.col(f) for f in fields])
+        df = df.groupBy(*keys).agg(F.min(row).alias("__least"), F.max(row).alias("__most"))
+        columns, split = [F.col("__least")[f].alias(f) for f in fields], ~F.col("__least").eqNullSafe(F.col("__most"))
+    return df.select(
+        F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int").alias("__bucket"), F.xxhash64(text, F.lit(7)).alias("__hash"), text.alias("__key"),
+        *[F.col(k) for k in keys], *columns, split.alias("__split"),
+    )
 
 
 def _align(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -81,6 +82,8 @@ def diff_copies(
     split_right: str | None = None,
     buckets: int | None = None,
     rows: int | None = None,
+    unique_left: bool = False,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Rows missing on either side, and one row for each field that differs.
 
@@ -96,7 +99,7 @@ def diff_copies(
     Cases: null keys are keys like any other and equal each other. Null equals null and differs from any value, the
     empty string included. Exact copies of a row are one row. Where rows of one key disagree on one side, the least
     row by ``fields`` is compared, and ``split_left`` / ``split_right``, if given, name a further difference row that
-    reports it. Two empty sides give no rows; one empty side gives every key of the other.
+    reports it. ``unique_left`` / ``unique_right`` promise that no key has two rows there. Two empty sides give no rows; one empty side gives every key of the other.
     """
     spark = left.sparkSession
     keys, fields = list(keys), list(fields)
@@ -106,7 +109,7 @@ def diff_copies(
     if buckets is None:
         n = rows if rows is not None else max(left.select(keys[0]).count(), right.select(keys[0]).count())
         buckets = max(shuffle_width(spark), -(-n // ROWS_PER_BUCKET))
-    a, b = (_one_row_per_key(df.select(*keys, *fields), keys, fields, buckets) for df in (left, right))
+    a, b = (_one_row_per_key(df.select(*keys, *fields), keys, fields, buckets, u) for df, u in ((left, unique_left), (right, unique_right)))
     key_fields = [a.schema[k] for k in keys]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in key_fields] + [T.StructField(x, T.StringType()) for x in ("difference", "left_value", "right_value")])
     names = {"left": missing_left, "right": missing_right}

@@ -45,16 +45,17 @@ def procinst_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = max(load(spark, sf_dir, "process_instance_history").count(), theirs.count())
     return differences.diff_copies(
         _comparable(ours), _comparable(theirs), ["engine_id", "process_instance_id"], PROCINST_FIELDS,
-        missing_left="missing_in_projection", missing_right="missing_in_engine", rows=rows,
+        missing_left="missing_in_projection", missing_right="missing_in_engine", split_right="rows_disagree_in_engine", rows=rows, unique_left=True,
     )
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return procinst_differences(spark, sf_dir).select("engine_id", "process_instance_id", "difference")
+    found = procinst_differences(spark, sf_dir).filter(~F.col("difference").startswith("rows_disagree"))
+    return found.select("engine_id", "process_instance_id", "difference")
 
 
 def p1_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The differing cells with both values."""
+    """The differing cells with both values, and the instances whose rows disagree within the engine's copy."""
     return procinst_differences(spark, sf_dir)
 
 
@@ -64,7 +65,7 @@ def p1_net_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     here = found.groupBy("engine_id").agg(
         F.count_if(F.col("difference") == "missing_in_engine").alias("missing_in_engine"),
         F.count_if(F.col("difference") == "missing_in_projection").alias("missing_in_projection"),
-        F.count_if(~F.col("difference").startswith("missing_")).alias("differing_fields"),
+        F.count_if(~F.col("difference").rlike("^(missing|rows)_")).alias("differing_fields"),
     )
     state = load(spark, sf_dir, "class_cutover_state").filter(F.upper("history_class") == "PROCINST").groupBy("engine_id").agg(F.max("last_diff_count").alias("last_diff_count"))
     return state.join(here, "engine_id", "full")
@@ -262,12 +263,14 @@ def _norm(prefix: str) -> str:
 
 
 _CELLS = f"""WITH l AS (SELECT r.engine_id AS engine_id, pid AS process_instance_id, {_norm("r.")} FROM {_PI} WHERE r.deleted_at IS NULL),
-r AS (SELECT DISTINCT engine_id, {_id("process_instance_id")} AS process_instance_id, {_norm("")} FROM act_hi_procinst),
+every AS (SELECT DISTINCT engine_id, {_id("process_instance_id")} AS process_instance_id, {_norm("")} FROM act_hi_procinst),
+r AS (SELECT * FROM every QUALIFY row_number() OVER (PARTITION BY engine_id, process_instance_id ORDER BY {", ".join(f"{f} NULLS FIRST" for f in PROCINST_FIELDS)}) = 1),
 j AS (SELECT l.engine_id AS le, l.process_instance_id AS lp, r.engine_id AS re, r.process_instance_id AS rp, {", ".join(f"l.{f} AS l_{f}, r.{f} AS r_{f}" for f in PROCINST_FIELDS)}
   FROM l FULL JOIN r ON l.engine_id = r.engine_id AND l.process_instance_id = r.process_instance_id),
 cells AS (SELECT le AS engine_id, lp AS process_instance_id, 'missing_in_engine' AS difference, CAST(NULL AS VARCHAR) AS left_value, CAST(NULL AS VARCHAR) AS right_value FROM j WHERE rp IS NULL
   UNION ALL SELECT re, rp, 'missing_in_projection', NULL, NULL FROM j WHERE lp IS NULL
-  {" ".join(f"UNION ALL SELECT le, lp, '{f}', CAST(l_{f} AS VARCHAR), CAST(r_{f} AS VARCHAR) FROM j WHERE lp IS NOT NULL AND rp IS NOT NULL AND l_{f} IS DISTINCT FROM r_{f}" for f in PROCINST_FIELDS)})"""
+  {" ".join(f"UNION ALL SELECT le, lp, '{f}', CAST(l_{f} AS VARCHAR), CAST(r_{f} AS VARCHAR) FROM j WHERE lp IS NOT NULL AND rp IS NOT NULL AND l_{f} IS DISTINCT FROM r_{f}" for f in PROCINST_FIELDS)}
+  UNION ALL SELECT engine_id, process_instance_id, 'rows_disagree_in_engine', NULL, NULL FROM every GROUP BY 1, 2 HAVING count(*) > 1)"""
 
 _INTERVALS = f"""WITH iv AS (SELECT r.pid AS pid, epoch_us(r.start_time) // 1000 AS s, coalesce(epoch_us(r.end_time) // 1000, 9223372036854775807) AS t FROM {_AI} WHERE r.deleted_at IS NULL),
 ok AS (SELECT * FROM iv WHERE s IS NOT NULL AND t > s),
@@ -294,10 +297,10 @@ k AS (SELECT f.* FROM f JOIN d USING (engine_id, pid) WHERE event_type IS DISTIN
 SELECT engine_id, pid AS process_instance_id, max(s) AS stream_sequence, coalesce(arg_max(state, s) FILTER (WHERE state IS NOT NULL), 'ACTIVE') AS state FROM k GROUP BY 1, 2"""
 
 ORACLE = {
-    "p1_found": _CELLS + " SELECT engine_id, process_instance_id, difference FROM cells",
+    "p1_found": _CELLS + " SELECT engine_id, process_instance_id, difference FROM cells WHERE NOT starts_with(difference, 'rows_')",
     "p1_cells": _CELLS + " SELECT * FROM cells",
     "p1_net_counts": _CELLS + """, h AS (SELECT engine_id, count(*) FILTER (WHERE difference = 'missing_in_engine') AS missing_in_engine,
- count(*) FILTER (WHERE difference = 'missing_in_projection') AS missing_in_projection, count(*) FILTER (WHERE NOT starts_with(difference, 'missing_')) AS differing_fields FROM cells GROUP BY 1),
+ count(*) FILTER (WHERE difference = 'missing_in_projection') AS missing_in_projection, count(*) FILTER (WHERE NOT starts_with(difference, 'missing_') AND NOT starts_with(difference, 'rows_')) AS differing_fields FROM cells GROUP BY 1),
 s AS (SELECT engine_id, max(last_diff_count) AS last_diff_count FROM class_cutover_state WHERE upper(history_class) = 'PROCINST' GROUP BY 1)
 SELECT engine_id, last_diff_count, missing_in_engine, missing_in_projection, differing_fields FROM s FULL JOIN h USING (engine_id)""",
     "p2_found": f"""WITH m AS (SELECT 'compact_history_outbox' AS outbox_table, {_id("history_event_id")} || ':' || event_type AS message_id, arrival_no FROM compact_history_outbox

@@ -26,11 +26,12 @@ def millis(c: str | Column) -> Column:
 
 
 def latest(df: DataFrame, key: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
-    """The row of each key with the highest ``order``, by one hash aggregate with a map-side part.
+    """The row of each key with the highest ``order``, by one aggregate with a map-side part.
 
-    A hot key costs one partial row per input task, so no sort and no window over the group is needed.
-    A null order counts as the lowest. Rows of equal order are resolved by the greatest ``columns`` struct,
-    which makes exact copies one row and any other tie deterministic.
+    A hot key costs one partial row per input task, and no task sees its whole group. A struct that holds strings can't live
+    in a hash aggregate, so each side of the one exchange sorts its own rows by key. A null order counts as the lowest. Rows
+    of equal order are resolved by the greatest ``columns`` struct, which makes exact copies one row and any other tie
+    deterministic.
     """
     best = F.max(F.struct(F.col(order).alias("__o"), *[F.col(c) for c in columns]))
     got = df.groupBy(*key).agg(best.alias("__best"))
