@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
@@ -41,17 +41,18 @@ class Plan:
 
     def _open(self, size: int, left: dict[int, int]) -> int:
         """The least-cost capacity for a new bin: the least room left for each unit of capacity, after as many items of this
-        size as fit and one more that fits the rest, of the sizes still to come; of equals the largest."""
+        size as fit and then the largest that fit the rest, of all sizes still to come; of equals the largest."""
         best, best_cost = 0, 2.0
         for c in self.capacities:
             if c < size:
                 continue
             room = c - size * min(c // size, max(1, left[size]))
-            for s in self._ahead:
-                if s <= room and left.get(s):
-                    room -= s * min(room // s, left[s])
-                    if not room:
-                        break
+            # smaller sizes are all still to come, in rising order up to this one
+            at = bisect_right(self._rising, min(room, size - 1)) - 1
+            while room and at >= 0:
+                s = self._rising[at]
+                room -= s * min(room // s, left[s])
+                at = bisect_right(self._rising, min(room, s - 1)) - 1
             cost = room / c
             if cost <= best_cost:
                 best, best_cost = c, cost
@@ -67,9 +68,8 @@ class Plan:
                     insort(room, r)
                 by_room[r].append(pattern)
 
-        order = sorted(left, reverse=True)
-        for i, size in enumerate(order):
-            self._ahead = order[i + 1 : i + 65]
+        self._rising = sorted(left)
+        for size in reversed(self._rising):
             while left[size]:
                 at = bisect_left(room, size)
                 if at == len(room):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -48,6 +50,14 @@ def _batches(texts: list[str | None], most_chars: int = 2_000_000) -> Iterator[l
         yield group
 
 
+def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """The groups of :func:`_batches` with the place of each."""
+    at = 0
+    for group in _batches(texts):
+        yield at, group
+        at += len(group)
+
+
 def _key(df: DataFrame, key: str) -> str:
     return f"`{key}` {df.schema[key].dataType.simpleString()}"
 
@@ -59,6 +69,60 @@ def _lists(values: list[list[int]], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat).cast(kind))
 
 
+#: White space as the vocabulary's own splitting has it (the Unicode property).
+_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_WORD = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+#: Words that a worker remembers, and the length up to which it does.
+MOST_WORDS, LONGEST_WORD = 300_000, 64
+
+
+class Encoder:
+    """Encodes texts word by word, a word with the white space before it, and each different word once.
+
+    In a byte-level vocabulary no token reaches from a word into the white space behind it, and how white space is split
+    depends on nothing before it. So the ids of a text are those of its words, one after another. A tokenizer that splits
+    in another way (:func:`splits_at_spaces`) encodes whole texts.
+    """
+
+    def __init__(self, path: str):
+        self.tok = _tokenizer(path)
+        self.by_word = splits_at_spaces(self.tok)
+        self.known: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=np.int32).tobytes() for group in _batches(texts) for e in self.tok.encode_batch_fast(group, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as 32-bit integers, one after another."""
+        if not self.by_word:
+            return self._whole(texts)
+        words = [_WORD.findall(t) for t in texts]
+        known = self.known
+        new = list(set().union(*words).difference(known))
+        if len(known) + len(new) > MOST_WORDS:
+            known.clear()
+            new = list(set().union(*words))
+        known.update(zip(new, self._whole(new), strict=True))
+        out = [b"".join(map(known.__getitem__, ws)) for ws in words]
+        for w in new:  # rare long words are not worth their place
+            if len(w) > LONGEST_WORD:
+                del known[w]
+        return out
+
+
+def splits_at_spaces(tok) -> bool:
+    """Whether a tokenizer is of the byte-level kind without a normalizer, so that words can be encoded one by one."""
+    spec = json.loads(tok.to_str())
+    split = spec.get("pre_tokenizer") or {}
+    added = [t for t in spec.get("added_tokens", []) if not t.get("special")]
+    return spec["model"]["type"] == "BPE" and not spec.get("normalizer") and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not added
+
+
+@lru_cache(maxsize=4)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 def encode(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
     """``key, ids``: the token ids of every row's text, without special tokens. Null and empty texts give an empty list.
 
@@ -66,10 +130,13 @@ def encode(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
-            ids = [e.ids for group in _batches(batch.column(1).to_pylist()) for e in tok.encode_batch(group, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids, pa.int32())], names=[key, "ids"])
+            for at, texts in _slices(batch.column(1).to_pylist()):
+                ids = encoder.encode(texts)
+                offsets = np.cumsum([0, *map(len, ids)]) // 4
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), lists], names=[key, "ids"])
 
     return spread(df.select(key, text)).mapInArrow(run, f"{_key(df, key)}, ids array<int>")
 
@@ -93,9 +160,9 @@ def count_tokens(df: DataFrame, key: str, text: str, tokenizer: str) -> DataFram
     """``key, n_tokens``; 0 for null and empty texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizer(tokenizer)
+        encoder = _encoder(tokenizer)
         for batch in batches:
-            n = [len(e.ids) for group in _batches(batch.column(1).to_pylist()) for e in tok.encode_batch(group, add_special_tokens=False)]
+            n = [len(ids) // 4 for _, texts in _slices(batch.column(1).to_pylist()) for ids in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=[key, "n_tokens"])
 
     return spread(df.select(key, text)).mapInArrow(run, f"{_key(df, key)}, n_tokens long")

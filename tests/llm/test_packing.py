@@ -73,3 +73,9 @@ def test_plan_depends_on_sizes_not_on_items():
     assert len(plan.counts) < 10_000
     used = sum(n * sum(s * k for s, k in f) for n, f in zip(plan.counts, plan.fills, strict=True))
     assert used == sum(s * 10**9 for s in range(1, 2049, 3)) and used > 0.995 * sum(n * c for n, c in zip(plan.counts, plan.sizes, strict=True))
+
+
+def test_fillers_of_any_size_count():
+    """What fits the rest of a new bin is looked for among all sizes to come, however many lie between."""
+    sizes = {600: 1, **{k: 1 for k in range(200, 400)}, 24: 1}
+    assert P.Plan(sizes, [620, 624])._open(600, dict(sizes)) == 624

@@ -1,3 +1,7 @@
+import random
+
+import numpy as np
+
 from histrail.llm import tokens as K
 
 TEXTS = ["", None, " ", "plain", "naïve façade – 行処理 🚨✅", "<|endoftext|> stays text", "a\tb\r\n\n  c", "é" * 3000, "👩‍👩‍👧‍👦" * 50, "x" * 40_000, "�"]
@@ -45,6 +49,20 @@ def test_offsets_and_counts(spark):
     assert K.decode_ids(rows[8].ids[:1], vocabulary)  # cut within a character: no crash
 
 
+def test_words_give_the_ids_of_whole_texts(monkeypatch):
+    """Encoding word by word is exact, whatever white space and signs there are, and with a memory that overflows."""
+    encoder = K.Encoder(K.tokenizer_path())
+    assert encoder.by_word
+    r = random.Random(1)
+    signs = ["a", "B", "é", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u200b", "'s", "'", "!", "9", "中", "🚨", "\u3000", "\ufeff", "\r\n", "_", "ß", "'LL", "\x00", "<|endoftext|>"]
+    texts = ["".join(r.choices(signs, k=r.randrange(0, 40))) for _ in range(5_000)] + [t or "" for t in TEXTS]
+    whole = encoder._whole(texts)
+    monkeypatch.setattr(K, "MOST_WORDS", 3_000)
+    assert [x for i in range(0, len(texts), 500) for x in encoder.encode(texts[i : i + 500])] == whole
+    assert all(np.frombuffer(x, dtype=np.int32).tolist() == encoder.tok.encode(t, add_special_tokens=False).ids for t, x in zip(texts[:300], whole, strict=False))
+    assert len(encoder.known) <= 3_000 + 10_000
+
+
 def test_byte_table():
     t = K.byte_table()
     assert len(t) == 256 and sorted(t.values()) == list(range(256)) and t["Ġ"] == 32 and t["A"] == 65
