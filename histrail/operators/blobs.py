@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import scalar as S
 
@@ -40,19 +38,6 @@ def fold_counts(deltas: DataFrame, key: str, order: str, delta: str = "delta") -
     return run.withColumn("ref_count_after", F.col("__sum") - F.col("__floor")).drop("__sum", "__floor")
 
 
-def fold_by_steps(deltas: DataFrame, key: str, order: str, delta: str = "delta") -> DataFrame:
-    """The fold step by step, to check :func:`fold_counts` with on small logs."""
-
-    def one(f: pd.DataFrame) -> pd.DataFrame:
-        f, count, out = f.sort_values(order), 0, []
-        for d in f[delta]:
-            count = max(0, count + int(d))
-            out.append(count)
-        return f.assign(ref_count_after=out)
-
-    return deltas.groupBy(key).applyInPandas(one, T.StructType([*deltas.schema.fields, T.StructField("ref_count_after", T.LongType())]))
-
-
 def candidates(variables: DataFrame, blobs: DataFrame, threshold: int, types: tuple[str, ...], limit: int | None = None) -> DataFrame:
     """Variables of the given types whose blob is larger than the threshold and not yet moved out, in the order of their ids."""
     sized = blobs.select(F.col("id").alias("blob_id"), F.octet_length("payload_bytes").cast("long").alias("n_bytes"), F.sha2("payload_bytes", 256).alias("content_hash")).filter(F.col("n_bytes") > threshold)

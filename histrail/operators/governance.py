@@ -74,6 +74,49 @@ def erasable(classes: list[str]) -> tuple[list[str], str]:
     return rest, "ACCEPTED" if rest else "LEGAL_HOLD_BLOCKED"
 
 
+def request_outcomes(requests: DataFrame, scopes: DataFrame, subject: str) -> DataFrame:
+    """Requests (``subject``, ``classes``) with the classes that may be erased and the outcome: LEGAL_HOLD_BLOCKED if none is
+    left, CONFIRMATION_REQUIRED if the subject's instances are of more than one case, else ACCEPTED. ``scopes`` is the result
+    of :func:`scope_outcome`; a subject without instances is accepted, there is nothing to erase."""
+    asked = requests.withColumn("erasable", F.array_except(F.coalesce("classes", F.array().cast("array<string>")), F.array(*[F.lit(c) for c in AUDIT_CRITICAL])))
+    joined = asked.join(scopes.select(subject, F.col("outcome").alias("__scope")), subject, "left")
+    outcome = F.when(F.size("erasable") == 0, "LEGAL_HOLD_BLOCKED").when(F.col("__scope") == "CONFIRMATION_REQUIRED", "CONFIRMATION_REQUIRED").otherwise("ACCEPTED")
+    return joined.withColumn("outcome", outcome).drop("__scope")
+
+
+def pending_scopes(groups: DataFrame, subject: str, requests: DataFrame) -> DataFrame:
+    """What has to be confirmed, one row a candidate instance: ``request_id, subject, process_instance_id, status``.
+    ``requests`` has the subject and ``request_id``. Rows, and not one document a request, for a subject may have any number."""
+    return groups.join(requests.select(subject, "request_id"), subject).select("request_id", subject, "process_instance_id", F.lit("PENDING").alias("status"))
+
+
+def confirm_scopes(pending: DataFrame, confirmed: DataFrame) -> DataFrame:
+    """The candidates after an answer (``request_id, process_instance_id``): those named are CONFIRMED, the others of an answered
+    request REJECTED, those of other requests stay PENDING. What is named but was no candidate is left out."""
+    named = confirmed.select(F.col("request_id").alias("__n"), F.col("process_instance_id").alias("__i")).distinct()
+    answered = confirmed.select(F.col("request_id").alias("__r")).distinct()
+    j = pending.join(named, (F.col("request_id") == F.col("__n")) & (F.col("process_instance_id") == F.col("__i")), "left")
+    j = j.join(answered, F.col("request_id") == F.col("__r"), "left")
+    open_ = F.col("status") == "PENDING"
+    return j.withColumn("status", F.when(open_ & F.col("__i").isNotNull(), "CONFIRMED").when(open_ & F.col("__r").isNotNull(), "REJECTED").otherwise(F.col("status"))).drop("__n", "__i", "__r")
+
+
+def release_deltas(rows: DataFrame, reference: str, among: DataFrame, keys: list[str]) -> DataFrame:
+    """``payload_id, delta``: one reference less for each row that goes (its ``keys`` are in ``among``) and holds one; summed by
+    payload, with a map-side part."""
+    gone = rows.filter(F.col(reference).isNotNull()).join(among.select(*keys).distinct(), keys, "left_semi")
+    return gone.groupBy(F.col(reference).alias("payload_id")).agg((-F.count(F.lit(1))).alias("delta"))
+
+
+def after_release(payloads: DataFrame, deltas: DataFrame) -> DataFrame:
+    """``id, ref_count`` of the payloads that are left: counts don't fall below zero, and a payload that nobody refers to any
+    more goes with its last reference. Payloads that no delta names stay as they are; deltas of unknown payloads do nothing."""
+    d = deltas.groupBy("payload_id").agg(F.sum("delta").alias("__d"))
+    j = payloads.select("id", "ref_count").join(d, F.col("id") == F.col("payload_id"), "left")
+    left = F.greatest(F.lit(0), F.coalesce("ref_count", F.lit(0)) + F.coalesce("__d", F.lit(0))).cast("long")
+    return j.withColumn("ref_count", F.when(F.col("__d").isNull(), F.col("ref_count").cast("long")).otherwise(left)).filter(F.col("__d").isNull() | (F.col("ref_count") > 0)).select("id", "ref_count")
+
+
 def anonymise(rows: DataFrame, history_class: str, scope: DataFrame, at: datetime | Column) -> DataFrame:
     """Rows of a class after the erasure of ``scope`` (process_instance_id): those in scope and not deleted yet lose their
     personal columns and are marked; ``affected`` flags them. Classes without an instance are matched by no scope."""
@@ -106,6 +149,19 @@ def erasure_audit(results: dict[str, DataFrame], request_id: str, subject_key: s
     return out
 
 
+def verified_audit(audit: DataFrame, leftovers_of: dict[str, DataFrame]) -> DataFrame:
+    """The audit with ``verification_status``: by table FAILED if personal columns are left in its scope, else PASSED; PENDING
+    for tables that weren't looked at."""
+    states = [df.agg(F.count(F.lit(1)).alias("__n")).select(F.lit(CLASSES[c].table).alias("__t"), F.when(F.col("__n") > 0, "FAILED").otherwise("PASSED").alias("__s")) for c, df in leftovers_of.items()]
+    if not states:
+        return audit.withColumn("verification_status", F.lit("PENDING"))
+    every = states[0]
+    for x in states[1:]:
+        every = every.unionByName(x)
+    # one row a table
+    return audit.join(F.broadcast(every), F.col("target_table") == F.col("__t"), "left").withColumn("verification_status", F.coalesce("__s", F.lit("PENDING"))).drop("__t", "__s")
+
+
 def pseudonymise(fields: DataFrame, history_class: Column, map_column: str, tenant_key: str, version: int) -> DataFrame:
     """Operation-log bodies with a non-blank user: the user goes, a token and a flag come."""
     m = F.col(map_column)
@@ -133,6 +189,12 @@ class Vault:
         """Known entries stay; new tokens are added."""
         return known.unionByName(new.join(known.select("pseudonym_token"), "pseudonym_token", "left_anti"))
 
+    def delete(self, entries: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The entries without those whose deletion was granted, and the audit rows of all requests (columns as for
+        :meth:`reidentify`); a request for an unknown token changes nothing and is audited."""
+        audit = requests.select("pseudonym_token", F.lit("DELETE").alias("operation"), "accessor_identity", "access_reason", "granted")
+        return entries.join(requests.filter("granted").select("pseudonym_token").distinct(), "pseudonym_token", "left_anti"), audit
+
     def reidentify(self, entries: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Answers to ``requests`` (pseudonym_token, accessor_identity, access_reason, granted) and the audit rows of all of them."""
         audit = requests.select("pseudonym_token", F.lit("REIDENTIFY").alias("operation"), "accessor_identity", "access_reason", "granted")

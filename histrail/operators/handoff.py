@@ -46,6 +46,25 @@ def surviving_payloads(payloads: DataFrame, outbox: DataFrame) -> DataFrame:
     return payloads.join(outbox.select(F.col("payload_large_ref").alias("id")).distinct(), "id", "left_semi")
 
 
+# Days that the messages of a stream are kept; those of other streams until they are taken.
+STREAM_DAYS = {"history": 7, "dlq": 14}
+
+
+def within_age(messages: DataFrame, stream: str, time: str, as_of: Column) -> DataFrame:
+    """The messages that their stream still holds. A message without a time stays."""
+    days = F.coalesce(*[F.when(F.col(stream) == n, F.lit(d)) for n, d in STREAM_DAYS.items()])
+    old = F.unix_micros(as_of) - F.unix_micros(F.col(time)) > days.cast("long") * 86_400_000_000
+    return messages.filter(~F.coalesce(old, F.lit(False)))
+
+
+def outbox_gate(outbox: DataFrame, critical: str, keys: Sequence[str], instance: Column) -> DataFrame:
+    """By key: rows of best-effort and of critical types, instances, and whether the first are none and the second no more than
+    the instances. A null ``critical`` is best effort."""
+    c = F.coalesce(F.col(critical), F.lit(False))
+    got = outbox.groupBy(*keys).agg(F.count_if(~c).alias("n_best_effort"), F.count_if(c).alias("n_critical"), F.count_distinct(instance).alias("n_instances"))
+    return got.withColumn("passes", (F.col("n_best_effort") == 0) & (F.col("n_critical") <= F.col("n_instances")))
+
+
 def history_path(events: DataFrame, cut_over: Sequence[str] = (), critical: Sequence[str] = AUDIT_CRITICAL) -> DataFrame:
     """Adds ``path`` (outbox in the transaction, or published after it) and ``also_engine`` (written to the engine's table
     too, until the class is cut over; an unclassified event always is)."""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import masked
 
@@ -57,14 +58,58 @@ def page_of(df: DataFrame, page: Page) -> DataFrame:
     return df.offset(p.offset).limit(p.size) if p.offset else df.limit(p.size)
 
 
+class Clustered:
+    """Current rows stored for reads of one process instance: in folders by a hash of the instance, and sorted by it.
+
+    A read of one instance opens one folder, and in it the row groups whose statistics allow the instance; a read of all
+    instances pushes its filters down to the scan as well. Rows are spread by range, so an instance of any number of rows
+    is written by several tasks.
+    """
+
+    KEY = "process_instance_id"
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int, schema: T.StructType):
+        """``schema`` is that of the rows; an empty table has no file to take it from."""
+        self.buckets, names = buckets, schema.fieldNames()
+        self._stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(root)
+        self.rows = self._stored.select(*names)
+
+    @classmethod
+    def store(cls, rows: DataFrame, root: str, buckets: int, order: str) -> Clustered:
+        """``order``: a column that tells the rows of one instance apart, to cut it by."""
+        spread = rows.withColumn("bucket", cls._bucket(F.col(cls.KEY), buckets)).repartitionByRange("bucket", cls.KEY, order)
+        spread.sortWithinPartitions("bucket", cls.KEY, order).write.partitionBy("bucket").parquet(root)
+        return cls(rows.sparkSession, root, buckets, rows.schema)
+
+    @staticmethod
+    def _bucket(key: Column, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+    def of(self, instance_id: str) -> DataFrame:
+        here = F.col("bucket") == self._bucket(F.lit(instance_id), self.buckets)
+        return self._stored.filter(here & (F.col(self.KEY) == instance_id)).drop("bucket")
+
+
+Table = DataFrame | Clustered
+
+
+def _all(table: Table) -> DataFrame:
+    return table.rows if isinstance(table, Clustered) else table
+
+
+def _of(table: Table, instance_id: str) -> DataFrame:
+    return table.of(instance_id) if isinstance(table, Clustered) else table.filter(F.col("process_instance_id") == instance_id)
+
+
 class HistoryReads:
-    """``instances``, ``activities``, ``tasks`` and ``variables`` hold current rows; soft-deleted rows are never shown.
+    """``instances``, ``activities``, ``tasks`` and ``variables`` hold current rows, as frames or stored (:class:`Clustered`);
+    soft-deleted rows are never shown.
 
     Nulls of a descending sort come first, of an ascending one last; equal times are ordered by id, so that pages never
     overlap. Reads span all engines unless ``engine_id`` is given.
     """
 
-    def __init__(self, instances: DataFrame, activities: DataFrame, tasks: DataFrame, variables: DataFrame, cutover: DataFrame, authorise: Authorise = lambda operation, context: True):
+    def __init__(self, instances: Table, activities: Table, tasks: Table, variables: Table, cutover: DataFrame, authorise: Authorise = lambda operation, context: True):
         self.instances, self.activities, self.tasks, self.variables, self.cutover, self.authorise = instances, activities, tasks, variables, cutover, authorise
 
     def _enter(self, operation: str, context: dict[str, Any]) -> bool:
@@ -76,7 +121,7 @@ class HistoryReads:
         """The summary of one instance with the state of its engine's cut-over; no row if it isn't there or is deleted."""
         pii = self._enter("GET_INSTANCE", context)
         states = self.cutover.filter(F.upper("history_class") == "PROCINST").groupBy("engine_id").agg(F.min("state").alias("cutover_state"))
-        one = alive(self.instances).filter(F.col("process_instance_id") == instance_id)
+        one = alive(_of(self.instances, instance_id))
         return one.join(F.broadcast(states), "engine_id", "left").select("process_instance_id", "process_definition_key", "business_key", masked(F.col("start_user_id"), pii).alias("start_user_id"), "start_time", "end_time", "state", "cutover_state")
 
     def list_instances(self, page: Page = Page(), *, business_key: str | None = None, definition_key: str | None = None, started_after=None, started_before=None, **context: Any) -> Paged:
@@ -87,19 +132,19 @@ class HistoryReads:
         tests += [F.col("start_time") <= F.lit(started_before).cast("timestamp")] if started_before is not None else []
         if not tests:
             raise ValueError("at least one filter is needed")
-        found = alive(self.instances)
+        found = alive(_all(self.instances))
         for t in tests:
             found = found.filter(t)
         shown = found.select("process_instance_id", "process_definition_key", "business_key", masked(F.col("start_user_id"), pii).alias("start_user_id"), "start_time", "end_time", "state", F.lit(None).cast("string").alias("cutover_state"))
         rows = page_of(shown.orderBy(F.desc_nulls_first("start_time"), "process_instance_id"), page)
         return Paged(rows, page.clamped.number, page.clamped.size, found.agg(F.count(F.lit(1)).alias("total")))
 
-    def _children(self, operation: str, table: DataFrame, instance_id: str, page: Page, time: str, key: str, columns: Callable[[bool], list], context: dict[str, Any]) -> Paged | None:
+    def _children(self, operation: str, table: Table, instance_id: str, page: Page, time: str, key: str, columns: Callable[[bool], list], context: dict[str, Any]) -> Paged | None:
         pii = self._enter(operation, context)
         # an instance that isn't there is another answer than one without children
-        if alive(self.instances).filter(F.col("process_instance_id") == instance_id).limit(1).isEmpty():
+        if alive(_of(self.instances, instance_id)).limit(1).isEmpty():
             return None
-        found = alive(table).filter(F.col("process_instance_id") == instance_id)
+        found = alive(_of(table, instance_id))
         rows = page_of(found.orderBy(F.asc_nulls_last(time), key).select(*columns(pii)), page)
         return Paged(rows, page.clamped.number, page.clamped.size, found.agg(F.count(F.lit(1)).alias("total")))
 

@@ -39,27 +39,42 @@ def clean_streaks(cycles: DataFrame, key: Sequence[str], order: str, *, target:
     return c.withColumn("state", F.when(~F.col("clean"), DUAL_RUN).when(F.col("streak") >= target, CLEAN_STREAK).otherwise(RECONCILING))
 
 
-def fold_commands(commands: DataFrame, key: Sequence[str], order: str, *, target: int) -> DataFrame:
-    """The final ``state, streak, rollbacks`` of each key under comparisons and commands in their order.
-
-    ``commands`` has ``command`` (CLEAN, UNCLEAN, REQUEST, CONFIRM, ROLLBACK). A request holds only in a clean streak; a clean
-    comparison after it returns to the streak. Sequences are as long as a class has nightly runs, so an ordered list a key is
-    small; it is folded inside the engine.
+def command_outcomes(commands: DataFrame, key: Sequence[str], order: str, *, target: int) -> DataFrame:
+    """Every command with ``outcome`` (of requests only) and the ``state, streak, rollbacks`` after it.
+
+    ``commands`` has ``command``: CLEAN and UNCLEAN comparisons; REQUEST, which holds only in a clean streak (else
+    GATE_NOT_MET, nothing changes) and is REQUESTED, or APPLY_FAILED where ``failed`` is true (nothing changes); CONFIRM,
+    unconditional; REVERT, back to the clean streak; ROLLBACK, to the start. Comparisons don't change what is cut over. Other
+    commands do nothing. An ordered list a key is folded inside the engine: it is as long as a class has had nightly
+    comparisons and commands, which time bounds and not the amount of data.
     """
-    log = commands.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(order, "command"))).alias("__log"))
-    start = F.struct(F.lit(DUAL_RUN).alias("state"), F.lit(0).alias("streak"), F.lit(0).alias("rollbacks"))
+    entry = F.struct(order, "command", (F.coalesce("failed", F.lit(False)) if "failed" in commands.columns else F.lit(False)).alias("failed"))
+    log = commands.groupBy(*key).agg(F.array_sort(F.collect_list(entry)).alias("__log"))
+    at = commands.schema[order].dataType.simpleString()
+    row = f"struct<{order}:{at},command:string,outcome:string,state:string,streak:int,rollbacks:int>"
+    start = F.struct(F.lit(DUAL_RUN).alias("state"), F.lit(0).alias("streak"), F.lit(0).alias("rollbacks"), F.array().cast(f"array<{row}>").alias("rows"))
 
     def step(a, x):
-        c, s = x["command"], a["state"]
-        streak = F.when(c == "CLEAN", F.when(s == "CUTOVER_APPLIED", a["streak"]).otherwise(a["streak"] + 1)).when(c.isin("UNCLEAN", "ROLLBACK"), F.lit(0)).otherwise(a["streak"])
-        clean = F.when(s == "CUTOVER_APPLIED", s).when(streak >= target, F.lit(CLEAN_STREAK)).otherwise(F.lit(RECONCILING))
+        c, s = F.coalesce(x["command"], F.lit("")), a["state"]
+        applied = s == "CUTOVER_APPLIED"
+        gate = s == CLEAN_STREAK
+        outcome = F.when(c == "REQUEST", F.when(~gate, "GATE_NOT_MET").when(x["failed"], "APPLY_FAILED").otherwise("REQUESTED"))
+        streak = F.when((c == "CLEAN") & ~applied, a["streak"] + 1).when((c == "UNCLEAN") & ~applied | (c == "ROLLBACK"), F.lit(0)).otherwise(a["streak"])
         state = (
-            F.when(c == "CLEAN", clean).when(c == "UNCLEAN", F.when(s == "CUTOVER_APPLIED", s).otherwise(F.lit(DUAL_RUN)))
-            .when(c == "REQUEST", F.when(s == CLEAN_STREAK, F.lit("CUTOVER_REQUESTED")).otherwise(s)).when(c == "CONFIRM", F.lit("CUTOVER_APPLIED")).when(c == "ROLLBACK", F.lit(DUAL_RUN)).otherwise(s)
+            F.when(applied & c.isin("CLEAN", "UNCLEAN"), s).when(c == "CLEAN", F.when(streak >= target, F.lit(CLEAN_STREAK)).otherwise(F.lit(RECONCILING))).when(c.isin("UNCLEAN", "ROLLBACK"), F.lit(DUAL_RUN))
+            .when((c == "REQUEST") & gate & ~x["failed"], F.lit("CUTOVER_REQUESTED")).when(c == "CONFIRM", F.lit("CUTOVER_APPLIED")).when(c == "REVERT", F.lit(CLEAN_STREAK)).otherwise(s)
         )
-        return F.struct(state.alias("state"), streak.alias("streak"), (a["rollbacks"] + (c == "ROLLBACK").cast("int")).alias("rollbacks"))
+        rollbacks = a["rollbacks"] + (c == "ROLLBACK").cast("int")
+        new = F.struct(x[order].alias(order), x["command"].alias("command"), outcome.alias("outcome"), state.alias("state"), streak.alias("streak"), rollbacks.alias("rollbacks"))
+        return F.struct(state.alias("state"), streak.alias("streak"), rollbacks.alias("rollbacks"), F.concat(a["rows"], F.array(new.cast(row))).alias("rows"))
+
+    return log.select(*key, F.explode(F.aggregate("__log", start, step, lambda a: a["rows"])).alias("__r")).select(*key, "__r.*")
 
-    return log.select(*key, F.aggregate("__log", start, step).alias("__r")).select(*key, "__r.*")
+
+def fold_commands(commands: DataFrame, key: Sequence[str], order: str, *, target: int) -> DataFrame:
+    """The final ``state, streak, rollbacks`` of each key, see :func:`command_outcomes`."""
+    last = F.max_by(F.struct("state", "streak", "rollbacks"), order)
+    return command_outcomes(commands, key, order, target=target).groupBy(*key).agg(last.alias("__r")).select(*key, "__r.*")
 
 
 def renamed_states(df: DataFrame, column: str = "state") -> DataFrame:
@@ -67,3 +82,13 @@ def renamed_states(df: DataFrame, column: str = "state") -> DataFrame:
     c = F.col(column)
     out = F.coalesce(*[F.when(c == old, F.lit(new)) for old, new in OLD_STATE_NAMES.items()], c)
     return df.withColumn(column, out)
+
+
+# The order in which classes are cut over, by volume.
+CUTOVER_ORDER = ("DETAIL", "VARINST", "ACTINST", "JOB_LOG", "TASKINST", "PROCINST", "COMMENT", "ATTACHMENT", "IDENTITYLINK", "DECINST", "CASEINST", "BATCH", "EXT_TASK_LOG", "INCIDENT", "OP_LOG")
+
+
+def cutover_order(classes: DataFrame, keys: Sequence[str], order: Sequence[str] = CUTOVER_ORDER) -> DataFrame:
+    """Adds ``place`` (from 1) to the classes of each key; unlisted and null ones come last. A key has as many rows as classes."""
+    at = F.coalesce(*[F.when(F.col("history_class") == c, F.lit(i)) for i, c in enumerate(order)])
+    return classes.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last(at), "history_class")))

@@ -97,15 +97,40 @@ def f23_pseudonymised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("arrival_no", g("userId").alias("user_id"), g("userIdPseudonymized").alias("flag"), g("pseudonymToken").alias("token"))
 
 
-def v1_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users stored under tokens and found again; every second request is denied but leaves an audit row."""
+#: When the users that the vault knew before were first seen there.
+SEEN_BEFORE = "2020-01-01 00:00:00"
+
+
+def _vault(spark: SparkSession, sf_dir: str) -> tuple[G.Vault, DataFrame]:
+    """A vault that knows every third user; all users are stored into it."""
     vault = G.Vault(SECRET)
     users = load(spark, sf_dir, "process_instance_history")
     entries = vault.entries(users, "start_user_id", TENANT, VERSION, "created_at")
-    known = vault.store(entries.limit(0), entries)
-    requests = known.select("pseudonym_token", F.lit("auditor").alias("accessor_identity"), F.lit("complaint").alias("access_reason"), (F.conv(F.substring("pseudonym_token", 1, 2), 16, 10).cast("int") % 2 == 0).alias("granted"))
-    answers, audit = vault.reidentify(known, requests)
-    return audit.join(answers, "pseudonym_token", "left").select("pseudonym_token", "granted", "user_id")
+    known = entries.filter(_two_digits(3) == 0).withColumn("first_seen_at", F.to_timestamp(F.lit(SEEN_BEFORE)))
+    return vault, vault.store(known, entries)
+
+
+def _two_digits(modulus: int):
+    return F.conv(F.substring("pseudonym_token", 1, 2), 16, 10).cast("int") % modulus
+
+
+def _requests(entries: DataFrame, granted) -> DataFrame:
+    return entries.select("pseudonym_token", F.lit("auditor").alias("accessor_identity"), F.lit("complaint").alias("access_reason"), granted.alias("granted"))
+
+
+def v1_vault(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users stored under tokens and found again; known ones keep their entry. Every second request is denied but audited."""
+    vault, known = _vault(spark, sf_dir)
+    answers, audit = vault.reidentify(known, _requests(known, _two_digits(2) == 0))
+    return audit.join(answers, "pseudonym_token", "left").join(known.select("pseudonym_token", F.unix_millis("first_seen_at").alias("first_seen_ms")), "pseudonym_token").select("pseudonym_token", "granted", "user_id", "first_seen_ms")
+
+
+def v1_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletions from the vault: what was asked, what was granted, what is left."""
+    vault, known = _vault(spark, sf_dir)
+    left, audit = vault.delete(known, _requests(known, _two_digits(5) == 1).filter(_two_digits(5) < 2))
+    held = left.select("pseudonym_token", F.lit(True).alias("held"))
+    return known.select("pseudonym_token").join(audit.select("pseudonym_token", "operation", "granted"), "pseudonym_token", "left").join(held, "pseudonym_token", "left").select("pseudonym_token", "operation", "granted", F.coalesce("held", F.lit(False)).alias("held"))
 
 
 # --- reconciliation ----------------------------------------------------------------------------------------------------
@@ -119,7 +144,7 @@ def r1_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily comparisons from the event stream: the errors of a user's day are what differed."""
-    e = load(spark, sf_dir, "events").filter(F.col("user_id") < F.lit(2**31))
+    e = load(spark, sf_dir, "events")
     day = F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date"))
     c = e.groupBy((F.col("user_id") % 50).alias("unit"), day.alias("day")).agg(F.sum(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("diff"))
     return c.withColumn("critical", F.col("unit") % 3 == 0)
@@ -129,11 +154,22 @@ def r2_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.clean_streaks(_cycles(spark, sf_dir), ["unit"], "day", target=3, epsilon=1)
 
 
+def _commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with every command and failed requests among the comparisons."""
+    c = R.clean_streaks(_cycles(spark, sf_dir), ["unit"], "day", target=3, epsilon=1)
+    d, n = F.col("day"), F.col("day") + F.col("unit")
+    command = F.when(n % 5 == 4, "REQUEST").when(n % 23 == 7, "CONFIRM").when(n % 11 == 3, "REVERT").when(n % 29 == 5, "ROLLBACK").when(F.col("clean") | (n % 3 > 0), "CLEAN").otherwise("UNCLEAN")
+    return c.select("unit", "day", command.alias("command"), (d % 2 == 0).alias("failed"))
+
+
 def r3_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The final state of each unit under a log of comparisons and commands."""
-    c = R.clean_streaks(_cycles(spark, sf_dir), ["unit"], "day", target=3, epsilon=1)
-    log = c.select("unit", "day", F.when(F.col("day") % 13 == 5, "REQUEST").when(F.col("day") % 29 == 7, "ROLLBACK").when(F.col("clean"), "CLEAN").otherwise("UNCLEAN").alias("command"))
-    return R.fold_commands(log, ["unit"], "day", target=2)
+    return R.fold_commands(_commands(spark, sf_dir), ["unit"], "day", target=2)
+
+
+def r3_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every command with its outcome and the state after it."""
+    return R.command_outcomes(_commands(spark, sf_dir), ["unit"], "day", target=2)
 
 
 def r4_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,9 +191,9 @@ def a4_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def k7_relayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What stays after the oldest batch of every engine but one was acknowledged."""
+    """What stays after two of three rows of every engine but one were acknowledged."""
     o = load(spark, sf_dir, "outbound_message_outbox")
-    acked = o.filter((F.col("engine_id") != "eng-elm") & (F.col("batch_no") <= 100))
+    acked = o.filter((F.col("engine_id") != "eng-elm") & (F.col("arrival_no") % 3 > 0))
     return H.relayed(o, acked, "arrival_no").groupBy("engine_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -169,8 +205,9 @@ def jn10_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jn13_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads that the rows of an outbox still need; the ledger's references stand for the outbox's, which name other ids."""
     p = load(spark, sf_dir, "projection_large_payload").select(same_id("id").alias("id")).distinct()
-    o = load(spark, sf_dir, "compact_history_outbox").withColumn("payload_large_ref", same_id("payload_large_ref"))
+    o = load(spark, sf_dir, "runtime_large_variable_ref").filter(F.col("engine_id") != "eng-elm").select(same_id("payload_id").alias("payload_large_ref"))
     return H.surviving_payloads(p, o)
 
 
@@ -307,7 +344,7 @@ def f33_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        s14_partitions, g1_due, g1_surviving, g4_case_groups, g4_scope, g6_anonymised, g8_leftovers, g9_audit, f22_tokens, f23_pseudonymised, v1_vault, r1_differences, r2_streaks, r3_commands, r4_renamed, s10_batch, a4_age,
+        s14_partitions, g1_due, g1_surviving, g4_case_groups, g4_scope, g6_anonymised, g8_leftovers, g9_audit, f22_tokens, f23_pseudonymised, v1_vault, v1_deleted, r1_differences, r2_streaks, r3_commands, r3_outcomes, r4_renamed, s10_batch, a4_age,
         k7_relayed, jn10_payloads, jn13_payloads, h1_paths, h2_outbound, k6_messages, h3_jobs, h4_expired, j1_replies, f13_scan, h5_incidents, h6_failures, a8_profile, a9_engine_writes, s13_statements, a10_stored_share, a12_counters,
         t9_tripped, f26_backoff, f27_lock, f17_subjects, f32_periods, f33_bounds,
     )
@@ -326,9 +363,19 @@ _SCOPE = f"sc AS (SELECT pid FROM {_PI} WHERE r.process_definition_key = 'dunnin
 _HIT = "h AS (SELECT aid, r, r.d IS NULL AND r.pid IN (SELECT pid FROM sc) AS hit FROM a)"
 _INNER, _OUTER = S._pads(f"{TENANT}:{VERSION}".encode())
 _HMAC = f"sha256(unhex('{_OUTER}') || unhex(sha256(unhex('{_INNER}') || encode({{0}}))))"
+_VAULT = f"""u AS (SELECT start_user_id AS u, epoch_us(min(created_at)) // 1000 AS ms FROM process_instance_history WHERE coalesce(trim(start_user_id), '') <> '' GROUP BY 1),
+ t AS (SELECT *, CAST('0x' || substr(k, 1, 2) AS INTEGER) AS x FROM (SELECT u, ms, {_HMAC.format('u')} AS k FROM u))"""
 _CYC = """c AS (SELECT user_id % 50 AS unit, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS diff, (user_id % 50) % 3 = 0 AS critical FROM events GROUP BY ALL),
 x AS (SELECT *, coalesce(lag(diff) OVER (PARTITION BY unit ORDER BY day), 0) AS p FROM c), y AS (SELECT *, CASE WHEN critical THEN diff = 0 ELSE diff <= 1 AND (diff <= p OR p = 0) END AS clean FROM x),
 z AS (SELECT *, sum(CASE WHEN clean THEN 0 ELSE 1 END) OVER (PARTITION BY unit ORDER BY day) AS isl FROM y), s AS (SELECT *, sum(CASE WHEN clean THEN 1 ELSE 0 END) OVER (PARTITION BY unit, isl ORDER BY day) AS streak FROM z)"""
+_FOLD = f"""WITH RECURSIVE {_CYC}, cmd AS (SELECT unit, day, day % 2 = 0 AS failed, CASE WHEN (day + unit) % 5 = 4 THEN 'REQUEST' WHEN (day + unit) % 23 = 7 THEN 'CONFIRM' WHEN (day + unit) % 11 = 3 THEN 'REVERT' WHEN (day + unit) % 29 = 5 THEN 'ROLLBACK'
+  WHEN clean OR (day + unit) % 3 > 0 THEN 'CLEAN' ELSE 'UNCLEAN' END AS command, row_number() OVER (PARTITION BY unit ORDER BY day) AS n FROM s),
+f AS (SELECT unit, CAST(NULL AS INTEGER) AS day, CAST(NULL AS VARCHAR) AS command, CAST(NULL AS VARCHAR) AS outcome, 'DUAL_RUN' AS state, 0 AS streak, 0 AS rollbacks, CAST(0 AS BIGINT) AS n FROM (SELECT DISTINCT unit FROM cmd)
+ UNION ALL SELECT f.unit, c.day, c.command, CASE WHEN c.command = 'REQUEST' THEN CASE WHEN f.state <> 'CLEAN_STREAK' THEN 'GATE_NOT_MET' WHEN c.failed THEN 'APPLY_FAILED' ELSE 'REQUESTED' END END,
+  CASE WHEN c.command = 'CLEAN' THEN CASE WHEN f.state = 'CUTOVER_APPLIED' THEN f.state WHEN f.streak + 1 >= 2 THEN 'CLEAN_STREAK' ELSE 'RECONCILING' END WHEN c.command = 'UNCLEAN' THEN CASE WHEN f.state = 'CUTOVER_APPLIED' THEN f.state ELSE 'DUAL_RUN' END
+   WHEN c.command = 'REQUEST' THEN CASE WHEN f.state = 'CLEAN_STREAK' AND NOT c.failed THEN 'CUTOVER_REQUESTED' ELSE f.state END WHEN c.command = 'CONFIRM' THEN 'CUTOVER_APPLIED' WHEN c.command = 'REVERT' THEN 'CLEAN_STREAK' ELSE 'DUAL_RUN' END,
+  CASE WHEN c.command = 'ROLLBACK' THEN 0 WHEN f.state = 'CUTOVER_APPLIED' THEN f.streak WHEN c.command = 'CLEAN' THEN f.streak + 1 WHEN c.command = 'UNCLEAN' THEN 0 ELSE f.streak END,
+  f.rollbacks + CASE WHEN c.command = 'ROLLBACK' THEN 1 ELSE 0 END, c.n FROM f JOIN cmd c ON f.unit = c.unit AND c.n = f.n + 1)"""
 _PAY = f"p AS (SELECT {_id('id')} AS id, any_value(payload_bytes) AS bytes, any_value(content_hash) AS h FROM projection_large_payload GROUP BY 1)"
 _TASKS = f"{_ACT}, t AS (SELECT aid, r.k AS topic, CASE WHEN r.q % 4 <> 0 THEN r.pid END AS bk, CASE WHEN r.q % 3 <> 0 THEN r.e END AS lock, CAST(r.q % 5 AS INTEGER) AS retries, r.q % 7 = 0 AS susp FROM a WHERE r.t = 'externalTask' AND r.d IS NULL)"
 _REPLY = """r AS (SELECT event_id, CASE event_type WHEN 'error' THEN 'BPMN_ERROR' WHEN 'view' THEN ' SUCCESS ' WHEN 'click' THEN 'TRANSIENT' ELSE 'success' END AS t, event_id % 41 = 0 AS broken, CASE WHEN event_id % 2 = 0 THEN event_id % 5 END AS n FROM events)"""
@@ -349,17 +396,19 @@ ORACLE = {
     "f22_tokens": f"SELECT DISTINCT start_user_id, {_HMAC.format('start_user_id')} AS token FROM process_instance_history WHERE coalesce(start_user_id, '') <> ''",
     "f23_pseudonymised": f"""WITH o AS (SELECT arrival_no, payload_scalar->>'$.userId' AS u, history_class = 'OP_LOG' AND coalesce(trim(payload_scalar->>'$.userId'), '') <> '' AS h FROM compact_history_outbox)
  SELECT arrival_no, CASE WHEN NOT h THEN u END AS user_id, CASE WHEN h THEN 'true' END AS flag, CASE WHEN h THEN {_HMAC.format('u')} END AS token FROM o""",
-    "v1_vault": f"""WITH u AS (SELECT DISTINCT start_user_id AS u FROM process_instance_history WHERE coalesce(trim(start_user_id), '') <> ''), t AS (SELECT u, {_HMAC.format('u')} AS k FROM u),
- g AS (SELECT u, k, CAST('0x' || substr(k, 1, 2) AS INTEGER) % 2 = 0 AS granted FROM t) SELECT k AS pseudonym_token, granted, CASE WHEN granted THEN u END AS user_id FROM g""",
+    "v1_vault": f"""WITH {_VAULT} SELECT k AS pseudonym_token, x % 2 = 0 AS granted, CASE WHEN x % 2 = 0 THEN u END AS user_id, CASE WHEN x % 3 = 0 THEN epoch_ms(TIMESTAMPTZ '{SEEN_BEFORE}+00') ELSE ms END AS first_seen_ms FROM t""",
+    "v1_deleted": f"""WITH {_VAULT} SELECT k AS pseudonym_token, CASE WHEN x % 5 < 2 THEN 'DELETE' END AS operation, CASE WHEN x % 5 < 2 THEN x % 5 = 1 END AS granted, x % 5 <> 1 AS held FROM t""",
     "r1_differences": f"""WITH a AS (SELECT r.engine_id AS engine_id, count(*) AS n FROM {_PI} WHERE r.deleted_at IS NULL GROUP BY 1), b AS (SELECT engine_id, count(DISTINCT {_id("process_instance_id")}) AS n FROM act_hi_procinst GROUP BY 1)
  SELECT engine_id, coalesce(a.n, 0) AS n_here, coalesce(b.n, 0) AS n_there, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) AS diff FROM a FULL JOIN b USING (engine_id)""",
     "r2_streaks": f"WITH {_CYC} SELECT unit, day, CAST(diff AS BIGINT) AS diff, critical, clean, CAST(streak AS BIGINT) AS streak, CASE WHEN NOT clean THEN 'DUAL_RUN' WHEN streak >= 3 THEN 'CLEAN_STREAK' ELSE 'RECONCILING' END AS state FROM s",
+    "r3_commands": _FOLD + " SELECT unit, arg_max(state, n) AS state, arg_max(streak, n) AS streak, arg_max(rollbacks, n) AS rollbacks FROM f GROUP BY 1",
+    "r3_outcomes": _FOLD + " SELECT unit, day, command, outcome, state, streak, rollbacks FROM f WHERE n > 0",
     "r4_renamed": "SELECT state, count(*) AS n FROM (SELECT DISTINCT * FROM class_cutover_state) GROUP BY 1",
     "s10_batch": "SELECT arrival_no, history_event_id, epoch_us(created_at) // 1000 AS created_ms FROM compact_history_outbox WHERE engine_id = 'eng-alder' ORDER BY created_at ASC NULLS LAST, arrival_no LIMIT 500",
     "a4_age": f"SELECT engine_id, count(*) AS n_rows, coalesce((epoch_us({_NOW}) - epoch_us(min(created_at))) / 1e6, 0.0) AS age_s, coalesce((epoch_us({_NOW}) - epoch_us(min(created_at))) / 1e6, 0.0) > 150 AS stuck FROM outbound_message_outbox GROUP BY 1",
-    "k7_relayed": "SELECT engine_id, count(*) AS n FROM outbound_message_outbox WHERE NOT (engine_id <> 'eng-elm' AND batch_no <= 100) GROUP BY 1",
+    "k7_relayed": "SELECT engine_id, count(*) AS n FROM outbound_message_outbox WHERE NOT (engine_id <> 'eng-elm' AND arrival_no % 3 > 0) GROUP BY 1",
     "jn10_payloads": f"WITH {_PAY} SELECT arrival_no, CAST(octet_length(bytes) AS BIGINT) AS n_bytes FROM compact_history_outbox LEFT JOIN p ON {_id('payload_large_ref')} = p.id",
-    "jn13_payloads": f"SELECT DISTINCT {_id('id')} AS id FROM projection_large_payload WHERE {_id('id')} IN (SELECT {_id('payload_large_ref')} FROM compact_history_outbox WHERE payload_large_ref IS NOT NULL)",
+    "jn13_payloads": f"SELECT DISTINCT {_id('id')} AS id FROM projection_large_payload WHERE {_id('id')} IN (SELECT {_id('payload_id')} FROM runtime_large_variable_ref WHERE engine_id <> 'eng-elm' AND payload_id IS NOT NULL)",
     "h1_paths": """WITH e AS (SELECT history_class FROM compact_history_outbox UNION ALL SELECT CASE WHEN revision % 2 = 0 THEN 'DETAIL' END FROM variable_detail_history)
  SELECT history_class, CASE WHEN history_class IN ('OP_LOG', 'INCIDENT', 'EXT_TASK_LOG') THEN 'OUTBOX' ELSE 'POST_COMMIT' END AS path, coalesce(history_class, '') NOT IN ('DETAIL', 'INCIDENT') AS also_engine, count(*) AS n FROM e GROUP BY 1, 2, 3""",
     "h2_outbound": """WITH o AS (SELECT CASE WHEN arrival_no % 2 = 0 THEN replace(message_type, '.', '_') ELSE message_type END AS message_type FROM outbound_message_outbox)

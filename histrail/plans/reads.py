@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import blobs
-from ..operators.query_api import HistoryReads, Page
+from ..operators.query_api import Clustered, HistoryReads, Page
+from ..session import hadoop_path, scratch
 from ..tables import latest, load, same_id
 from .quality import _PI, _id, current_activities, current_instances
 
@@ -15,15 +16,38 @@ from .quality import _PI, _id, current_activities, current_instances
 DEFINITION, AFTER, BEFORE = "payment-settlement", "2025-03-01 00:00:00", "2025-12-01 00:00:00"
 #: Values above so many bytes count as large in these data.
 LARGE = 300
+#: Values that one sweep moves.
+SWEEP = 100
 
 
-def _reads(spark: SparkSession, sf_dir: str) -> HistoryReads:
+def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The current rows of the four tables that are read."""
     instances = current_instances(spark, sf_dir, "engine_id", "process_definition_key", "business_key", "start_user_id", "start_time", "end_time", "state")
     activities = current_activities(spark, sf_dir, "process_instance_id", "activity_id", "activity_type", "activity_name", "task_assignee", "start_time", "end_time")
     tasks = activities.filter(F.col("activity_type") == "userTask").select(F.col("activity_instance_id").alias("task_id"), "process_instance_id", F.col("activity_name").alias("task_name"), F.col("task_assignee").alias("assignee"), F.lit(None).cast("string").alias("owner"), "start_time", "end_time", "deleted_at")
     v = load(spark, sf_dir, "variable_detail_history")
     v = v.select(same_id("id").alias("id"), same_id("process_instance_id").alias("process_instance_id"), "variable_name", "variable_type", "variable_value_text", "event_time", "deleted_at").distinct()
-    return HistoryReads(instances, activities, tasks, v, load(spark, sf_dir, "class_cutover_state").distinct())
+    return {"instances": instances, "activities": activities, "tasks": tasks, "variables": v}
+
+
+#: What each table is cut by within an instance, and rows a folder.
+_ORDER, ROWS_PER_BUCKET = {"instances": "start_time", "activities": "activity_instance_id", "tasks": "task_id", "variables": "id"}, 200_000
+_stored: dict[tuple[str, ...], HistoryReads] = {}
+
+
+def _reads(spark: SparkSession, sf_dir: str) -> HistoryReads:
+    """The reads over the current rows, which are stored once an application and state of the tables."""
+    sources = ("process_instance_history", "activity_instance_history", "variable_detail_history")
+    state = [(p.toString(), str(fs.getFileStatus(p).getModificationTime())) for p, fs in (hadoop_path(spark, f"{sf_dir}/{t}.parquet") for t in sources)]
+    key = (spark.sparkContext.applicationId, *[x for s in state for x in s])
+    if key not in _stored:
+        rows = load(spark, sf_dir, "activity_instance_history").count()  # the largest; from the file footers
+        buckets = max(4, -(-rows // ROWS_PER_BUCKET))
+        tables = {n: Clustered.store(t, scratch(spark, f"current-{n}"), buckets, _ORDER[n]) for n, t in _tables(spark, sf_dir).items()}
+        _stored[key] = HistoryReads(tables["instances"], tables["activities"], tables["tasks"], tables["variables"], load(spark, sf_dir, "class_cutover_state").distinct())
+    return _stored[key]
+
+
 
 
 def _times(df: DataFrame) -> DataFrame:
@@ -36,13 +60,13 @@ def _times(df: DataFrame) -> DataFrame:
 
 def _busiest(reads: HistoryReads) -> str:
     """The instance with the most activities; of equals the least id."""
-    a = reads.activities.join(reads.instances.filter("deleted_at is null").select("process_instance_id"), "process_instance_id", "left_semi")
+    a = reads.activities.rows.join(reads.instances.rows.filter("deleted_at is null").select("process_instance_id"), "process_instance_id", "left_semi")
     row = a.groupBy("process_instance_id").count().orderBy(F.desc("count"), "process_instance_id").first()
     return row[0] if row else ""
 
 
 def _least(reads: HistoryReads) -> str:
-    return reads.instances.filter("deleted_at is null").agg(F.min("process_instance_id")).first()[0] or ""
+    return reads.instances.rows.filter("deleted_at is null").agg(F.min("process_instance_id")).first()[0] or ""
 
 
 def q1_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +78,7 @@ def q1_all_with_cutover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary of every instance: the point lookup's join over the whole table."""
     r = _reads(spark, sf_dir)
     states = r.cutover.filter(F.upper("history_class") == "PROCINST").groupBy("engine_id").agg(F.min("state").alias("cutover_state"))
-    return r.instances.filter("deleted_at is null").join(F.broadcast(states), "engine_id", "left").select("process_instance_id", "state", "cutover_state")
+    return r.instances.rows.filter("deleted_at is null").join(F.broadcast(states), "engine_id", "left").select("process_instance_id", "state", "cutover_state")
 
 
 def q2_page(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +114,7 @@ def q5_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The totals of all child lists of every instance."""
     r = _reads(spark, sf_dir)
-    parts = [t.filter("deleted_at is null").groupBy("process_instance_id").agg(F.count(F.lit(1)).alias("n")).withColumn("list", F.lit(n)) for n, t in (("activities", r.activities), ("tasks", r.tasks), ("variables", r.variables))]
+    parts = [t.filter("deleted_at is null").groupBy("process_instance_id").agg(F.count(F.lit(1)).alias("n")).withColumn("list", F.lit(n)) for n, t in (("activities", r.activities.rows), ("tasks", r.tasks.rows), ("variables", r.variables.rows))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -132,9 +156,9 @@ def b5_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def b5_next_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 500 of them, the batch of one sweep."""
+    """The first of them, the batch of one sweep; of a size that leaves some for the next."""
     v = _ledger(spark, sf_dir).select(F.concat_ws("/", "engine_id", "variable_id").alias("variable_id"), F.col("payload_id").alias("blob_id"), F.lit("bytes").alias("type"))
-    return blobs.candidates(v, _payloads(spark, sf_dir), LARGE, ("bytes",), 500).select("variable_id", "blob_id", "n_bytes")
+    return blobs.candidates(v, _payloads(spark, sf_dir), LARGE, ("bytes",), SWEEP).select("variable_id", "blob_id", "n_bytes")
 
 
 def b6_dereference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +237,7 @@ ORACLE = {
     "b3_floored_counts": """WITH d AS (SELECT user_id, event_id, CASE WHEN event_type IN ('error', 'view') THEN -1 ELSE 1 END AS d FROM events),
  r AS (SELECT *, sum(d) OVER (PARTITION BY user_id ORDER BY event_id) AS s FROM d), m AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY user_id ORDER BY event_id)) AS c FROM r) SELECT user_id, CAST(arg_max(c, event_id) AS BIGINT) AS ref_count FROM m GROUP BY 1""",
     "b5_candidates": f"WITH {_P}, {_L} SELECT l.engine_id || '/' || v AS variable_id, p.id AS blob_id, CAST(octet_length(bytes) AS BIGINT) AS n_bytes, sha256(bytes) AS content_hash, '{S.MARKER_PREFIX}' || sha256(bytes) AS marker FROM l JOIN p ON l.r.p = p.id WHERE octet_length(bytes) > {LARGE}",
-    "b5_next_batch": f"WITH {_P}, {_L} SELECT l.engine_id || '/' || v AS variable_id, p.id AS blob_id, CAST(octet_length(bytes) AS BIGINT) AS n_bytes FROM l JOIN p ON l.r.p = p.id WHERE octet_length(bytes) > {LARGE} ORDER BY 1 LIMIT 500",
+    "b5_next_batch": f"WITH {_P}, {_L} SELECT l.engine_id || '/' || v AS variable_id, p.id AS blob_id, CAST(octet_length(bytes) AS BIGINT) AS n_bytes FROM l JOIN p ON l.r.p = p.id WHERE octet_length(bytes) > {LARGE} ORDER BY 1 LIMIT {SWEEP}",
     "b6_dereference": f"WITH {_P}, h AS (SELECT h, any_value(octet_length(bytes)) AS n FROM p GROUP BY 1), {_L} SELECT engine_id, v AS variable_id, CAST(h.n AS BIGINT) AS n_bytes, h.h IS NULL AS broken FROM l LEFT JOIN h ON l.r.h = h.h",
     "b7_drift": f"WITH {_P}, {_L} SELECT engine_id, v AS variable_id, CASE WHEN p.id IS NULL THEN 'variable_deleted' ELSE 'content_changed' END AS reason FROM l LEFT JOIN p ON l.r.p = p.id WHERE p.id IS NULL OR sha256(bytes) IS DISTINCT FROM l.r.h",
     "b8_canonical": f"WITH {_P}, c AS (SELECT h, min(id) AS canonical_id FROM p GROUP BY 1) SELECT id AS old_id, canonical_id FROM p JOIN c USING (h) WHERE id <> canonical_id",

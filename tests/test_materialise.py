@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from histrail import schemas
 from histrail.functions import scalar as S
-from histrail.operators import blobs, envelope, governance, handoff, materialise, reconcile
+from histrail.operators import blobs, envelope, extract, governance, handoff, materialise, reconcile
 from histrail.session import scratch
 from histrail.sources import messages as sources
 from histrail.streaming.pipeline import HistoryPipeline, message_dedup
@@ -116,7 +116,10 @@ def test_floored_counts_against_steps(spark):
     rows = [(f"h{r.randrange(6)}", n, r.choice([1, -1, -1])) for n in range(400)]
     df = spark.createDataFrame(rows, "h string, n long, delta int")
     a = {(g.h, g.n): g.ref_count_after for g in blobs.fold_counts(df, "h", "n").collect()}
-    b = {(g.h, g.n): g.ref_count_after for g in blobs.fold_by_steps(df, "h", "n").collect()}
+    b, count = {}, {}
+    for h, n, d in rows:  # step by step, never below zero
+        count[h] = max(0, count.get(h, 0) + d)
+        b[h, n] = count[h]
     assert a == b and min(a.values()) == 0
 
 
@@ -140,6 +143,96 @@ def test_commands(spark):
     assert ("a", "CUTOVER_APPLIED", 3, 0) in got and ("a", "RECONCILING", 1, 1) in got and ("a", "CUTOVER_REQUESTED", 3, 0) in got
 
 
+def test_every_outcome_of_commands(spark):
+    """The gate, a failed write, revert and rollback; against a fold in Python."""
+    r = random.Random(4)
+    rows = [(k, n, r.choice(["CLEAN", "CLEAN", "CLEAN", "UNCLEAN", "REQUEST", "REQUEST", "CONFIRM", "REVERT", "ROLLBACK", None]), r.random() < 0.4) for k in "ab" for n in range(200)]
+    got = {(g.k, g.n): (g.outcome, g.state, g.streak, g.rollbacks) for g in reconcile.command_outcomes(spark.createDataFrame(rows, "k string, n long, command string, failed boolean"), ["k"], "n", target=2).collect()}
+    for k in "ab":
+        state, streak, rollbacks = "DUAL_RUN", 0, 0
+        for _, n, c, failed in [x for x in rows if x[0] == k]:
+            outcome = None
+            if c == "REQUEST":
+                outcome = "GATE_NOT_MET" if state != "CLEAN_STREAK" else "APPLY_FAILED" if failed else "REQUESTED"
+                state = "CUTOVER_REQUESTED" if outcome == "REQUESTED" else state
+            elif c == "CONFIRM":
+                state = "CUTOVER_APPLIED"
+            elif c == "REVERT":
+                state = "CLEAN_STREAK"
+            elif c == "ROLLBACK":
+                state, streak, rollbacks = "DUAL_RUN", 0, rollbacks + 1
+            elif c in ("CLEAN", "UNCLEAN") and state != "CUTOVER_APPLIED":
+                streak = streak + 1 if c == "CLEAN" else 0
+                state = "DUAL_RUN" if c == "UNCLEAN" else "CLEAN_STREAK" if streak >= 2 else "RECONCILING"
+            assert got[k, n] == (outcome, state, streak, rollbacks)
+    assert {x[0] for x in got.values()} == {None, "GATE_NOT_MET", "APPLY_FAILED", "REQUESTED"}
+
+
+def test_requests_and_scopes(spark):
+    requests = spark.createDataFrame([("s1", "r1", ["OP_LOG"]), ("s2", "r2", ["OP_LOG", "DETAIL"]), ("s3", "r3", ["DETAIL"]), ("s4", "r4", None), ("s5", "r5", ["DETAIL"])], "s string, request_id string, classes array<string>")
+    groups = spark.createDataFrame([("s2", "p1", 0), ("s3", "p2", 0), ("s3", "p3", 1), ("s5", "p4", 0), ("s5", "p5", 1)], "s string, process_instance_id string, case_group long")
+    got = governance.request_outcomes(requests, governance.scope_outcome(groups, "s"), "s")
+    assert {r.s: r.outcome for r in got.collect()} == {"s1": "LEGAL_HOLD_BLOCKED", "s2": "ACCEPTED", "s3": "CONFIRMATION_REQUIRED", "s4": "LEGAL_HOLD_BLOCKED", "s5": "CONFIRMATION_REQUIRED"}
+    pending = governance.pending_scopes(groups, "s", got.filter("outcome = 'CONFIRMATION_REQUIRED'"))
+    answers = spark.createDataFrame([("r3", "p2"), ("r3", "p2"), ("r3", "stranger")], "request_id string, process_instance_id string")
+    after = {r.process_instance_id: r.status for r in governance.confirm_scopes(pending, answers).collect()}
+    assert after == {"p2": "CONFIRMED", "p3": "REJECTED", "p4": "PENDING", "p5": "PENDING"}
+
+
+def test_releases(spark):
+    rows = spark.createDataFrame([("p1", "x"), ("p1", "x"), ("p1", None), ("p2", "y"), ("p3", "z"), (None, "z")], "process_instance_id string, ref string")
+    scope = spark.createDataFrame([("p1",), ("p1",), ("p2",), (None,)], "process_instance_id string")
+    deltas = governance.release_deltas(rows, "ref", scope, ["process_instance_id"])
+    assert {(d.payload_id, d.delta) for d in deltas.collect()} == {("x", -2), ("y", -1)}
+    payloads = spark.createDataFrame([("x", 3), ("y", 1), ("z", 0), ("w", None)], "id string, ref_count int")
+    assert {(p.id, p.ref_count) for p in governance.after_release(payloads, deltas).collect()} == {("x", 1), ("z", 0), ("w", None)}
+    assert governance.after_release(payloads, deltas.limit(0)).count() == 4
+
+
+def test_verified_audit(spark):
+    audit = spark.createDataFrame([("activity_instance_history", 2), ("process_instance_history", 1), ("job_log_history", 0)], "target_table string, affected_row_count long")
+    some, none = spark.range(3), spark.range(0)
+    got = {r.target_table: r.verification_status for r in governance.verified_audit(audit, {"ACTINST": some, "PROCINST": none}).collect()}
+    assert got == {"activity_instance_history": "FAILED", "process_instance_history": "PASSED", "job_log_history": "PENDING"}
+    assert {r.verification_status for r in governance.verified_audit(audit, {}).collect()} == {"PENDING"}
+
+
+def test_extraction(spark):
+    rows = [("process_instance", "e1", "key", "big", T0, None, None), ("external_task_log", "e2", "key", "big", None, None, T0), ("external_task_log", "e3", None, "", None, None, None), ("no_such_kind", "e4", None, None, None, None, None), (None, "e5", None, None, None, None, None)]
+    events = spark.createDataFrame(rows, "kind string, history_event_id string, business_key string, error_details string, start_time timestamp, end_time timestamp, time timestamp").withColumns({"engine_id": F.lit("e"), "event_type": F.lit("t"), "process_instance_id": F.lit("p")})
+    got = {r.history_event_id: r for r in extract.extracted(events, F.lit(datetime(2030, 1, 1))).collect()}
+    assert [got[f"e{k}"].history_class for k in range(1, 6)] == ["PROCINST", "EXT_TASK_LOG", "EXT_TASK_LOG", None, None]
+    assert got["e1"].body.startswith('{"processDefinitionKey":null') and got["e4"].body == "{}" and got["e1"].large is None
+    assert got["e2"].large == b"big" and got["e3"].large is None and got["e2"].business_key is None and got["e1"].business_key == "key"
+    assert (got["e1"].event_time, got["e2"].event_time, got["e3"].event_time.year) == (T0, T0, 2030)
+    outbox, companions = extract.outbox_rows(extract.extracted(events.unionByName(events), F.lit(datetime(2030, 1, 1))), F.lit(T0))
+    assert outbox.count() == 6 and outbox.select("id").distinct().count() == 3
+    assert {(c.id, c.outbox_row_id) for c in companions.collect()} == {(o.payload_large_ref, o.id) for o in outbox.filter("payload_large_ref is not null").collect()}
+
+
+def test_outbox_bounds_and_ages(spark):
+    o = spark.createDataFrame([("a", True, "p1"), ("a", True, "p1"), ("b", True, "p1"), ("c", None, "p1")], "engine_id string, critical boolean, pid string")
+    assert {r.engine_id: r.passes for r in handoff.outbox_gate(o, "critical", ["engine_id"], F.col("pid")).collect()} == {"a": False, "b": True, "c": False}
+    m = spark.createDataFrame([("history", T0), ("dlq", T0), ("jobs", T0), ("history", None)], "stream string, t timestamp")
+    left = handoff.within_age(m, "stream", "t", F.lit(T0 + timedelta(days=8)))
+    assert sorted(r.stream for r in left.collect()) == ["dlq", "history", "jobs"]
+    order = reconcile.cutover_order(spark.createDataFrame([("e", "OP_LOG"), ("e", None), ("e", "DETAIL"), ("e", "OTHER")], "engine_id string, history_class string"), ["engine_id"])
+    assert [r.history_class for r in order.orderBy("place").collect()][:2] == ["DETAIL", "OP_LOG"]
+
+
+def test_vault_deletion_and_conflict(spark):
+    v = governance.Vault("0123456789abcdef")
+    users = spark.createDataFrame([("u1", T0), ("u2", T0)], "u string, t timestamp")
+    entries = v.entries(users, "u", "t", 1, "t")
+    old = entries.filter("pseudonym_token is not null").limit(1).withColumn("first_seen_at", F.lit(datetime(2000, 1, 1)))
+    known = v.store(old, entries)
+    assert known.count() == 2 and known.filter("first_seen_at < '2001-01-01'").count() == 1
+    tokens = [r.pseudonym_token for r in known.collect()]
+    requests = spark.createDataFrame([(tokens[0], "x", "why", True), (tokens[1], "x", "why", False), ("nobody", "x", "why", True)], "pseudonym_token string, accessor_identity string, access_reason string, granted boolean")
+    left, audit = v.delete(known, requests)
+    assert [r.pseudonym_token for r in left.collect()] == [tokens[1]] and audit.count() == 3 and {r.operation for r in audit.collect()} == {"DELETE"}
+
+
 def test_case_groups(spark):
     days = [0, 10, None, 101, 200, None, 500]
     rows = [("s", f"p{i}", T0 + timedelta(days=d) if d is not None else None) for i, d in enumerate(days)]

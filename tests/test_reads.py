@@ -43,3 +43,17 @@ def test_pages_and_denial(tables):
         with pytest.raises(Denied):
             call()
     assert len(asked) == 5 and asked[-1] == ("LIST_VARIABLES", {"user": "x"})
+
+
+def test_a_read_of_one_instance_opens_one_folder(spark, tables):
+    from histrail.operators.query_api import Clustered
+    from histrail.session import scratch
+
+    stored = [Clustered.store(t, scratch(spark, "c"), 3, c) for t, c in zip(tables[:4], ("start_time", "activity_instance_id", "task_id", "id"), strict=True)]
+    plain, r = HistoryReads(*tables), HistoryReads(*stored, tables[4])
+    for call in (lambda x: x.instance("p1"), lambda x: x.list_activities("p1").rows, lambda x: x.list_variables("p1").rows, lambda x: x.list_instances(business_key="b1").rows):
+        assert sorted(map(str, call(r).collect())) == sorted(map(str, call(plain).collect()))
+    assert r.list_tasks("p1").rows.count() == 0 and r.list_tasks("nope") is None
+    plan = stored[1].of("p1")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(process_instance_id), EqualTo(process_instance_id,p1)]" in plan and "PartitionFilters: [isnotnull(bucket" in plan
+    assert len({f.split("bucket=")[1].split("/")[0] for f in stored[0].rows.inputFiles()}) == 3
