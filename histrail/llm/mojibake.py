@@ -259,10 +259,31 @@ def pair_codes(text: str) -> np.ndarray:
     return (points[:-1] << 32) | points[1:]
 
 
-def improbable_runs(scores: np.ndarray) -> list[tuple[int, int]]:
-    """All maximal scoring segments (Ruzzo and Tompa), as ranges of pairs. Neighbours of one sign are added up first."""
+def improbable_runs(scores: np.ndarray, near: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """All maximal scoring segments (Ruzzo and Tompa), as ranges of pairs; with ``near``, those of them that could hold or touch
+    one of these pairs.
+
+    No segment crosses a place where the sum from the beginning is as low as never before, so the pairs between two such
+    places stand alone, and only stretches that are asked for are worked through.
+    """
     if not len(scores):
         return []
+    total = np.cumsum(scores)
+    inside = np.concatenate([[False], total > np.minimum.accumulate(np.concatenate([[0.0], total[:-1]])), [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    begins, ends = edges[::2], edges[1::2]
+    if near is not None and len(begins):
+        # a stretch of pairs [b, e) is asked for if a near pair lies in [b - 1, e]
+        count = np.concatenate([[0], np.cumsum(near)])
+        asked = count[np.minimum(ends + 1, len(near))] > count[np.maximum(begins - 1, 0)]
+        begins, ends = begins[asked], ends[asked]
+    return [(s + b, e + b) for b, e_ in zip(begins.tolist(), ends.tolist(), strict=True) for s, e in _segments(scores[b:e_])]
+
+
+def _segments(scores: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal scoring segments one after another. Neighbours of one sign are added up first."""
+    if len(scores) == 1:
+        return [(0, 1)] if scores[0] > 0 else []
     sign = scores > 0
     cuts = np.concatenate([[0], np.flatnonzero(sign[1:] != sign[:-1]) + 1])
     sums = np.add.reduceat(scores, cuts).tolist()
@@ -292,7 +313,7 @@ def improbable_runs(scores: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e, _, _ in found]
 
 
-_DIGIT = re.compile("[0-9]")
+_ZEROS = str.maketrans("123456789", "0" * 9)
 
 
 @dataclass
@@ -307,7 +328,7 @@ class _Piece:
     @property
     def key(self) -> tuple[str, str, str]:
         """Pieces of one key are judged alike: digits around them are all one."""
-        return _DIGIT.sub("0", self.before), self.text, _DIGIT.sub("0", self.after)
+        return self.before.translate(_ZEROS), self.text, self.after.translate(_ZEROS)
 
     def with_(self, new: str) -> str:
         return f"{self.before}{new}{self.after}"
@@ -321,15 +342,38 @@ class _Piece:
         return oddness(self.with_(new), len(self.before), len(self.before) + len(new))
 
 
+@dataclass
+class _Look:
+    """What is known of a piece: the texts it may be UTF-8 of (see :meth:`Restorer._utf8`), its odd characters, whether its
+    non-ASCII characters are all letters, and where these stand."""
+
+    sure: str | None
+    likely: str | None
+    beside: str | None
+    odd: int
+    letters: bool
+    places: set[str]
+
+
 class Restorer:
     """Tests the inverse mappings on pieces of text; what only a piece's surroundings decide is worked out once."""
 
     def __init__(self, model: PairModel):
         self.model = model
-        self.known: dict[tuple[str, str, str], tuple[str | None, str | None, str | None]] = {}
+        self.known: dict[tuple[str, str, str], _Look] = {}
         self.columns: dict[str, np.ndarray] = {}
         self.gained: dict[tuple[str, str, str], np.ndarray] = {}
 
+    def _look(self, p: _Piece, key: tuple[str, str, str]) -> _Look:
+        """What a piece's surroundings alone decide."""
+        got = self.known.get(key)
+        if got is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            letters = all(c < "\x80" or _kind(c)[0] in "LM" for c in p.text)
+            got = self.known[key] = _Look(*self._utf8(p), p.odd(p.text), letters, p.places())
+        return got
+
     def _utf8(self, p: _Piece) -> tuple[str | None, str | None, str | None]:
         """The likeliest text of which the piece is UTF-8, read wrongly once or several times: one that holds by itself, one
         that holds beside those or several of its kind, one that holds beside those only. None for what there isn't.
@@ -338,9 +382,6 @@ class Restorer:
         odd characters holds by itself. Of one with characters that the corpus has nowhere else the likelihood says nothing:
         it needs all bytes to be UTF-8, and two odd characters less to hold by itself.
         """
-        key = p.key
-        if key in self.known:
-            return self.known[key]
         now, odd = self.model.likelihood(p.with_(p.text)), p.odd(p.text)
         best: list[str | None] = [None, None, None]
         gains = [-1e9, 0.0, -1e9]
@@ -364,10 +405,7 @@ class Restorer:
                     if gain > gains[tier] and less >= 0 and (tier < 2 or entire):
                         best[tier], gains[tier] = new, gain
             layers = inner
-        if len(self.known) > 500_000:
-            self.known.clear()
-        self.known[key] = tuple(best)
-        return self.known[key]
+        return tuple(best)
 
     def _column(self, c: str) -> np.ndarray:
         """What a character becomes under each exchange table; 0 where that is nothing that the corpus knows."""
@@ -443,36 +481,39 @@ class Restorer:
         """Whether the text holds a wrongly decoded stretch, the text as far as it can be restored, the number of such pieces."""
         if not text or text.isascii():
             return False, text, 0
-        runs = improbable_runs(self.model.score(pair_codes(f" {text} ")))
-        starts, ends = np.array([s for s, _ in runs], dtype=np.int64), np.array([e for _, e in runs], dtype=np.int64)
-        pieces = []
-        for m in _PIECE.finditer(text):
-            lo, hi = m.span()
-            # a piece is tested when an improbable run touches one of its pairs, the one into it and out of it included
-            k = int(np.searchsorted(ends, lo, "right"))
-            if k < len(starts) and starts[k] <= hi:
-                pieces.append(_Piece(lo, m.group(), f" {text}"[max(0, lo + 1 - AROUND) : lo + 1], text[hi : hi + AROUND] if hi < len(text) else " "))
-        read = [self._utf8(p) for p in pieces]
-        new = {i: x[0] for i, x in enumerate(read) if x[0] is not None}
-        likely = {i: x[1] for i, x in enumerate(read) if x[0] is None and x[1] is not None}
-        if new:
-            new |= {i: x[2] for i, x in enumerate(read) if i not in new and i not in likely and x[2] is not None}
-        if new or len({x for i in likely for x in pieces[i].places()}) >= AGREEING:
-            new |= likely
+        padded = f" {text} "
+        points = _points(padded)
+        scores = self.model.score((points[:-1] << 32) | points[1:])
+        special = points > 127
+        runs = np.array(improbable_runs(scores, special[:-1] | special[1:]), dtype=np.int64).reshape(-1, 2)
+        spans = np.array([m.span() for m in _PIECE.finditer(text)], dtype=np.int64).reshape(-1, 2)
+        # a piece is tested when an improbable run touches one of its pairs, the one into it and out of it included
+        nearest = np.searchsorted(runs[:, 1], spans[:, 0], "right")
+        touched = nearest < len(runs)
+        touched[touched] = runs[nearest[touched], 0] <= spans[touched, 1]
+        pieces = [_Piece(lo, text[lo:hi], padded[max(0, lo + 1 - AROUND) : lo + 1], text[hi : hi + AROUND] if hi < len(text) else " ") for lo, hi in spans[touched].tolist()]
+        # pieces of one key are judged alike, once
         alike: dict[tuple[str, str, str], list[int]] = {}
         for i, p in enumerate(pieces):
-            if i not in new and LOST not in p.text:
-                alike.setdefault(p.key, []).append(i)
-        rest = list(alike.values())
-        if not any(pieces[i[0]].odd(pieces[i[0]].text) for i in rest):  # then only letters may become letters
-            rest = [i for i in rest if all(c < "\x80" or _kind(c)[0] in "LM" for c in pieces[i[0]].text)]
-            rest = rest if len({x for i in rest for x in pieces[i[0]].places()}) >= AGREEING else []
+            alike.setdefault(p.key, []).append(i)
+        found = {k: self._look(pieces[i[0]], k) for k, i in alike.items()}
+        new_of = {k: f.sure for k, f in found.items() if f.sure is not None}
+        likely = {k: f.likely for k, f in found.items() if f.sure is None and f.likely is not None}
+        if new_of:
+            new_of |= {k: f.beside for k, f in found.items() if k not in new_of and k not in likely and f.beside is not None}
+        if new_of or (likely and len(set().union(*(found[k].places for k in likely))) >= AGREEING):
+            new_of |= likely
+        rest = [k for k in found if k not in new_of and LOST not in k[1]]
+        if not any(found[k].odd for k in rest):  # then only letters may become letters
+            rest = [k for k in rest if found[k].letters]
+            rest = rest if rest and len(set().union(*(found[k].places for k in rest))) >= AGREEING else []
         while rest:
-            got = self._exchange([pieces[i[0]] for i in rest])
+            got = self._exchange([pieces[alike[k][0]] for k in rest])
             if not got:
                 break
-            new |= {i: t for k, t in got.items() for i in rest[k]}
-            rest = [i for k, i in enumerate(rest) if k not in got]
+            new_of |= {rest[n]: t for n, t in got.items()}
+            rest = [k for n, k in enumerate(rest) if n not in got]
+        new = {i: t for k, t in new_of.items() for i in alike[k]}
         out, at = [], 0
         for i in sorted(new):
             p = pieces[i]
