@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import hadoop_path, materialise, shuffle_width
 
@@ -48,8 +50,8 @@ def merge(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def bucket_of(buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int")
+def bucket_of(buckets: int, key: Sequence[str] = KEY) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
 
 
 def present(folded: DataFrame) -> DataFrame:
@@ -61,11 +63,29 @@ def present(folded: DataFrame) -> DataFrame:
 
 #: Buckets whose folders one part of the manifest names.
 BUCKETS_PER_PART = 1_024
-_COLUMNS = [c.split()[0] for c in STATE.split(", ")]
+
+
+@dataclass(frozen=True)
+class Kind:
+    """What a bucketed table holds: its key and schema; how a change set becomes rows of it; how such rows (with ``__bucket``)
+    are merged with those that are there, which are None in an empty table."""
+
+    key: tuple[str, ...]
+    schema: str
+    rows: Callable[[DataFrame], DataFrame]
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame]
+
+    @property
+    def columns(self) -> list[str]:
+        return T.StructType.fromDDL(self.schema).fieldNames()
+
+
+FEED = Kind(KEY, STATE, lambda changes: fold(changes), lambda base, rows: rows if base is None else merge(base, rows))
 
 
 class BucketedTable:
-    """A table of folded states: hash buckets of immutable files, and a manifest that says which file set is current.
+    """A table of folded states (or of another :class:`Kind`): hash buckets of immutable files, and a manifest that says which
+    file set is current.
 
     ``root/manifest-N.json`` names the parts of version N; a part maps buckets to folders. A change set is folded once and
     routed to its buckets; only those are read, merged with their changes and written anew under ``root/data/<token>``. The
@@ -74,9 +94,9 @@ class BucketedTable:
     reader sees all of a change set or none of it, and a failed or repeated apply does no harm.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None, kind: Kind = FEED):
         """``buckets`` is taken when the table is made; an existing table keeps its own, see :meth:`rebucket`."""
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root, self.kind = spark, root.rstrip("/"), kind
         version, manifest = self._current()
         if version < 0:
             if not buckets:
@@ -126,16 +146,16 @@ class BucketedTable:
         return {int(b): f for _, name in names for b, f in self._load(name).items()}
 
     def _read(self, folders: list[str]) -> DataFrame:
-        schema = f"__bucket int, {STATE}"
+        schema = f"__bucket int, {self.kind.schema}"
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def _write(self, rows: DataFrame, version: int, manifest: dict, buckets: int) -> int:
-        """Write rows as new files of their buckets and commit them."""
+    def _write(self, rows: DataFrame, version: int, manifest: dict, buckets: int, marks: dict[str, int]) -> int:
+        """Write rows as new files of their buckets and commit them with the marks."""
         token = f"v{version + 1}-{uuid.uuid4().hex[:8]}"
         target = f"{self.root}/data/{token}"
         # the sort keeps one writer open at a time; the spare column puts the bucket into the file as well
         tasks = [buckets // 8] if buckets // 8 > shuffle_width(self.spark) else []  # a table of many buckets needs more than the session's
-        rows.repartition(*tasks, "__bucket").sortWithinPartitions("__bucket", *KEY).withColumn("folder", F.col("__bucket")).write.partitionBy("folder").parquet(target)
+        rows.repartition(*tasks, "__bucket").sortWithinPartitions("__bucket", *self.kind.key).withColumn("folder", F.col("__bucket")).write.partitionBy("folder").parquet(target)
         path, fs = hadoop_path(self.spark, target)
         written = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
         if not written:
@@ -149,27 +169,36 @@ class BucketedTable:
             name = f"part-{part}-{token}.json"
             self._store(name, self._files(manifest, [part]) | files)
             parts[str(part)] = name
-        self._commit(max([version, *self._versions()]) + 1, {"buckets": buckets, "parts": parts})
+        self._commit(max([version, *self._versions()]) + 1, {"buckets": buckets, "parts": parts, "marks": marks})
         self.buckets = buckets
         return self._current()[0]
 
-    def apply(self, changes: DataFrame) -> int:
-        """Apply one change set (columns of :func:`fold`); returns the version it made. An empty set changes nothing."""
+    def apply(self, changes: DataFrame, mark: tuple[str, int] | None = None) -> int:
+        """Apply one change set (for the feed: columns of :func:`fold`); returns the version it made. An empty set changes nothing.
+
+        ``mark``, a source and a number that rises in it, makes a set that is delivered again do nothing: the number is
+        committed together with the files.
+        """
         version, manifest = self._current()
-        routed = fold(changes).withColumn("__bucket", bucket_of(self.buckets)).select("__bucket", *_COLUMNS)
+        marks = dict(manifest.get("marks", {}))
+        if mark:
+            if marks.get(mark[0], mark[1] - 1) >= mark[1]:
+                return version
+            marks[mark[0]] = mark[1]
+        routed = self.kind.rows(changes).withColumn("__bucket", bucket_of(self.buckets, self.kind.key)).select("__bucket", *self.kind.columns)
         if not manifest["parts"]:
-            return self._write(routed, version, manifest, self.buckets)
+            return self._write(self.kind.merge(None, routed), version, manifest, self.buckets, marks)
         routed = materialise(routed, "change-set")  # folded once: its buckets are asked for, then it is merged
         touched = [r[0] for r in routed.select("__bucket").distinct().collect()]  # at most ``buckets`` numbers
         files = self._files(manifest, sorted({b // BUCKETS_PER_PART for b in touched}))
         base = self._read([files[b] for b in touched if b in files])
-        return self._write(merge(base, routed), version, manifest, self.buckets)
+        return self._write(self.kind.merge(base, routed), version, manifest, self.buckets, marks)
 
     def rebucket(self, buckets: int) -> int:
         """Spread the table over another number of buckets, as one version of its own."""
         version, manifest = self._current()
-        rows = self.read().withColumn("__bucket", bucket_of(buckets)).select("__bucket", *_COLUMNS)
-        return self._write(rows, version, {"parts": {}}, buckets)
+        rows = self.read().withColumn("__bucket", bucket_of(buckets, self.kind.key)).select("__bucket", *self.kind.columns)
+        return self._write(rows, version, {"parts": {}}, buckets, manifest.get("marks", {}))
 
     def folders(self) -> dict[int, str]:
         """The current folder of each bucket that has one."""
@@ -177,7 +206,7 @@ class BucketedTable:
 
     def read(self) -> DataFrame:
         """All folded states of the current version, deleted keys included (a late record must still find its delete)."""
-        return self._read(sorted(self.folders().values())).select(*_COLUMNS)
+        return self._read(sorted(self.folders().values())).select(*self.kind.columns)
 
     def vacuum(self) -> int:
         """Delete files that the current manifest no longer names, older manifests and parts; returns how many folders went.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CLASSES, COLUMN_DEFAULTS, wire_keys_for
+from .changes import Kind
 
 
 def typed(column: Column, kind: str) -> Column:
@@ -60,6 +61,55 @@ def merge_class(events: DataFrame, history_class: str) -> DataFrame:
     return merge_entities(keyed, ["engine_id", c.key], columns, {n: wire_keys_for(history_class, n) for n, _ in columns})
 
 
+_ENTITY = "engine_id string, entity_key string, values map<string,string>, stream_sequence long, event_time timestamp, anchor_at timestamp, arrival_no long, n_applied long"
+
+
+def entity_kind(history_class: str) -> Kind:
+    """Stored current rows of an entity class, as a kind of bucketed table: a change set is merged into the touched buckets, and
+    an event is applied only if its sequence is above that of its row (compare and set). The rows are as :func:`merge_class`
+    would make them of all events in the order of the sets. ``values`` holds the texts of the columns that any applied event
+    had, explicit nulls included."""
+    c = CLASSES[history_class]
+    columns = [(n, wire_keys_for(history_class, n)) for n, _ in c.columns if n != c.key]
+
+    def rows(events: DataFrame) -> DataFrame:
+        key = F.col(c.key) if c.key == "process_instance_id" else F.coalesce(*[F.try_element_at("fields", F.lit(w)) for w in wire_keys_for(history_class, c.key)])
+        entries = []
+        for name, wires in columns:
+            has = F.coalesce(*[F.when(F.map_contains_key("fields", w), F.lit(w)) for w in wires])
+            entries.append(F.when(has.isNotNull(), F.struct(F.lit(name).alias("key"), F.try_element_at("fields", has).alias("value"))))
+        return events.select("engine_id", key.alias("entity_key"), F.map_from_entries(F.array_compact(F.array(*entries))).alias("values"), "stream_sequence", "event_time", F.col("event_time").alias("anchor_at"), "arrival_no", F.lit(1).cast("long").alias("n_applied"))
+
+    def merge(base: DataFrame | None, new: DataFrame) -> DataFrame:
+        every = new.withColumn("__new", F.lit(1))
+        if base is not None:
+            every = base.withColumn("__new", F.lit(0)).unionByName(every)
+        key = ["__bucket", "engine_id", "entity_key"]
+        earlier = Window.partitionBy(*key).orderBy("__new", "arrival_no").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.max("stream_sequence").over(earlier)
+        applied = every.withColumn("__before", before).filter(F.col("__before").isNull() | (F.col("stream_sequence") > F.col("__before")))
+        has = {n: F.map_contains_key("values", n) for n, _ in columns}
+        last = [F.max_by(F.struct(F.try_element_at("values", F.lit(n)).alias("v")), F.when(h, F.col("stream_sequence"))).alias(f"__v_{n}") for n, h in has.items()]
+        there = [F.max(h).alias(f"__h_{n}") for n, h in has.items()]
+        got = applied.groupBy(*key).agg(*last, *there, F.max("stream_sequence").alias("stream_sequence"), F.max_by("event_time", "stream_sequence").alias("event_time"), F.min_by("anchor_at", F.struct("__new", "arrival_no")).alias("anchor_at"), F.sum("n_applied").alias("n_applied"))
+        entries = [F.when(F.col(f"__h_{n}"), F.struct(F.lit(n).alias("key"), F.col(f"__v_{n}.v").alias("value"))) for n, _ in columns]
+        return got.select(*key, F.map_from_entries(F.array_compact(F.array(*entries))).alias("values"), "stream_sequence", "event_time", "anchor_at", F.lit(0).cast("long").alias("arrival_no"), "n_applied")
+
+    return Kind(("engine_id", "entity_key"), _ENTITY, rows, merge)
+
+
+def entity_rows(stored: DataFrame, history_class: str) -> DataFrame:
+    """The class's columns from its stored rows, in the form of :func:`merge_class`."""
+    c = CLASSES[history_class]
+    out = []
+    for name, kind in c.columns:
+        if name == c.key:
+            continue
+        value = typed(F.try_element_at("values", F.lit(name)), kind)
+        out.append((F.when(~F.map_contains_key("values", name), F.lit(COLUMN_DEFAULTS[name])).otherwise(value) if name in COLUMN_DEFAULTS else value).alias(name))
+    return stored.select("engine_id", F.col("entity_key").alias(c.key), *out, "stream_sequence", "event_time", F.col("anchor_at").alias("partition_anchor_at"), "n_applied")
+
+
 def append_log(events: DataFrame, key: Sequence[str] = ("engine_id", "history_event_id", "event_type", "event_time"), arrival: str = "arrival_no") -> DataFrame:
     """Adds ``outcome``: the first event of a key to arrive is APPLIED, the others DEDUP_SKIPPED."""
     w = Window.partitionBy(*key).orderBy(arrival)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import envelope, materialise
+from ..operators.changes import KEYS_PER_BUCKET, BucketedTable
 from ..schemas import CLASSES, ENTITY_CLASSES
 from ..session import materialise as store
-from ..session import scratch
+from ..session import scratch, shuffle_width
 from ..sources import messages as sources
 from ..streaming.pipeline import HistoryPipeline
 from ..tables import latest, load, same_id
@@ -91,6 +92,19 @@ def a1_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("engine_id", "process_instance_id", "state", "business_key", F.unix_millis("end_time").alias("end_ms"), "stream_sequence", F.unix_millis("partition_anchor_at").alias("anchor_ms"), "n_applied")
 
 
+def k1_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stored table into which the feed is merged in three sets, as it arrives; the second comes twice."""
+    events = _feed_events(spark, sf_dir)
+    # as many rows as events at most; the number comes from the file footers
+    table = BucketedTable(spark, scratch(spark, "current"), max(shuffle_width(spark), -(-events.count() // KEYS_PER_BUCKET)), materialise.entity_kind("PROCINST"))
+    a, b = (x or 0 for x in events.agg(F.expr("percentile_approx(arrival_no, array(0.5, 0.8))")).first()[0] or (0, 0))
+    n = F.col("arrival_no")
+    for k, part in ((1, n <= a), (2, (n > a) & (n <= b)), (2, (n > a) & (n <= b)), (3, (n > b) | n.isNull())):
+        table.apply(events.filter(part), ("feed", k))
+    m = materialise.entity_rows(table.read(), "PROCINST")
+    return m.select("engine_id", "process_instance_id", "state", "business_key", F.unix_millis("end_time").alias("end_ms"), "stream_sequence", F.unix_millis("partition_anchor_at").alias("anchor_ms"), "n_applied")
+
+
 def a1_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = materialise.outcomes(_feed_events(spark, sf_dir), ["engine_id", "process_instance_id"], "stream_sequence", "arrival_no")
     return o.groupBy("event_type", "outcome").agg(F.count(F.lit(1)).alias("n"))
@@ -182,7 +196,7 @@ def s1_accounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(_accounts(pipe, wire, "last"))
 
 
-QUERIES = {f.__name__: f for f in (f1_routes, f2_drift, f4_columns, f10_round_trip, f11_large_payload, k3_dead_letters, s7_dead_letter_report, t1_partitions, a1_merge, a1_outcomes, d1_append, d1_first_rows, d5_ledger, d3_outbox_duplicates, s8_months, u1_all_classes, s4_correlations, s1_stream, s1_accounted)}
+QUERIES = {f.__name__: f for f in (f1_routes, f2_drift, f4_columns, f10_round_trip, f11_large_payload, k3_dead_letters, s7_dead_letter_report, t1_partitions, a1_merge, k1_stored, a1_outcomes, d1_append, d1_first_rows, d5_ledger, d3_outbox_duplicates, s8_months, u1_all_classes, s4_correlations, s1_stream, s1_accounted)}
 
 _E = f"""e AS (SELECT arrival_no AS n, CASE WHEN arrival_no % 97 = 0 THEN ' ' ELSE engine_id END AS engine_id, CASE WHEN arrival_no % 53 = 0 THEN 'NO_SUCH_CLASS' ELSE history_class END AS history_class,
  event_type, {_id("history_event_id")} AS history_event_id, {_id("process_instance_id")} AS process_instance_id, business_key, event_time, payload_scalar, 1 + arrival_no % 7 AS delivery FROM compact_history_outbox)"""
@@ -227,3 +241,4 @@ ORACLE = {
  z AS (SELECT *, CASE WHEN route = 'LOG' AND row_number() OVER (PARTITION BY run, route, history_class, engine_id, history_event_id, event_type, event_time ORDER BY n) > 1 THEN 'COPY' ELSE route END AS place FROM y)
  SELECT run, place, history_class, reason, count(*) AS n FROM z GROUP BY 1, 2, 3, 4""",
 }
+ORACLE["k1_stored"] = ORACLE["a1_merge"]

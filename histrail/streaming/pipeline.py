@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import envelope
-from ..operators.materialise import append_log, log_rows, merge_entities, month_of
-from ..schemas import CLASSES, ENTITY_CLASSES, LOG_CLASSES, wire_keys_for
+from ..operators.changes import BucketedTable
+from ..operators.materialise import append_log, entity_kind, entity_rows, log_rows, month_of
+from ..schemas import CLASSES, ENTITY_CLASSES, LOG_CLASSES
 from ..session import hadoop_path, remove
 
 MESSAGES = "subject string, headers map<string,string>, data binary, stream_sequence bigint, delivery_count int, arrival_no bigint"
@@ -19,8 +20,9 @@ MESSAGES = "subject string, headers map<string,string>, data binary, stream_sequ
 class HistoryPipeline:
     """Materialises the classes it is given under ``root``.
 
-    Entities are kept as a log of applied events by class and batch (``entities/class=X/batch=N``); the table is the merge of
-    that log, so a batch that is repeated after a failure overwrites its own folder and nothing is applied twice. Log rows are
+    Entities are merged into stored current rows (``current/class``), a bucketed table that commits the batch's number with its
+    files, so a batch that is repeated after a failure does nothing; what came is kept as a log by class and batch as well
+    (``entities/class=X/batch=N``), in which a repeated batch overwrites its own folder. Log rows are
     appended once a key: within a batch by arrival, against earlier batches by an anti join with the months concerned. Dead
     letters go to ``dlq/batch=N``. Messages that can't be written now (an unknown class, or one that isn't given here) go to
     ``retry/batch=N``. All four are written before the stream's own commit of the batch.
@@ -31,8 +33,13 @@ class HistoryPipeline:
     renaming the list to ``k.done`` ends it, after which its folders are deleted.
     """
 
-    def __init__(self, spark: SparkSession, root: str, classes: list[str]):
-        self.spark, self.root, self.classes = spark, root.rstrip("/"), classes
+    def __init__(self, spark: SparkSession, root: str, classes: list[str], entity_buckets: int = 16):
+        """``entity_buckets`` is taken when an entity table is made; see :meth:`~histrail.operators.changes.BucketedTable.rebucket`."""
+        self.spark, self.root, self.classes, self.entity_buckets = spark, root.rstrip("/"), classes, entity_buckets
+
+    def current(self, name: str) -> BucketedTable:
+        """The stored current rows of an entity class."""
+        return BucketedTable(self.spark, f"{self.root}/current/{name}", self.entity_buckets, entity_kind(name))
 
     def _exists(self, folder: str) -> bool:
         path, fs = hadoop_path(self.spark, f"{self.root}/{folder}")
@@ -46,6 +53,11 @@ class HistoryPipeline:
             entity = routed.filter(F.col("route") == "entity")
             keep = ["history_class", "engine_id", "process_instance_id", "history_event_id", "event_type", "event_time", "fields", F.col("seq").alias("stream_sequence"), "arrival_no"]
             entity.select(*keep).withColumn("class", F.col("history_class")).write.mode("overwrite").partitionBy("class").parquet(f"{self.root}/entities/batch={number}")
+            for folder in self._names(f"entities/batch={number}"):
+                if folder.startswith("class="):
+                    mark = ("stream", number) if number >= 0 else ("round", -number)
+                    rows = self.spark.read.parquet(f"{self.root}/entities/batch={number}/{folder}")
+                    self.current(folder.removeprefix("class=")).apply(rows, mark)
             for name in [c for c in self.classes if c in LOG_CLASSES]:
                 self._append(routed.filter((F.col("route") == "log") & (F.col("history_class") == name)), name, number)
         finally:
@@ -114,11 +126,7 @@ class HistoryPipeline:
 
     def entity_table(self, name: str) -> DataFrame:
         """The current rows of an entity class."""
-        c = CLASSES[name]
-        log = self.spark.read.parquet(f"{self.root}/entities").filter(F.col("class") == name)
-        keyed = log if c.key == "process_instance_id" else log.withColumn(c.key, F.coalesce(*[F.try_element_at("fields", F.lit(w)) for w in wire_keys_for(name, c.key)]))
-        columns = [x for x in c.columns if x[0] != c.key]
-        return merge_entities(keyed, ["engine_id", c.key], columns, {n: wire_keys_for(name, n) for n, _ in columns})
+        return entity_rows(self.current(name).read(), name)
 
     def log_table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/logs/{CLASSES[name].table}").drop("batch", "month")

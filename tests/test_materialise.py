@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from histrail import schemas
 from histrail.functions import scalar as S
 from histrail.operators import blobs, envelope, extract, governance, handoff, materialise, reconcile
+from histrail.operators.changes import BucketedTable
 from histrail.session import scratch
 from histrail.sources import messages as sources
 from histrail.streaming.pipeline import HistoryPipeline, message_dedup
@@ -278,6 +279,26 @@ def test_pipeline_replays(spark):
     assert {r.month for r in log.select("month").collect()} == {"2020-01"}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stored_rows_are_the_merge_of_all_events(spark, seed):
+    """Sets merged one after another, some delivered again, give what one merge of all events gives."""
+    r = random.Random(seed)
+    rows = []
+    for n in range(200):
+        fields = {w: r.choice([None, "A", "B", "7"]) for w in r.sample(["state", "businessKey", "deleteReason", "other"], r.randrange(4))}
+        rows.append((r.choice(["e", None]), f"p{r.randrange(9)}", r.randrange(40), T0 + timedelta(minutes=r.randrange(900)), fields, n))
+    schema = "engine_id string, process_instance_id string, stream_sequence long, event_time timestamp, fields map<string,string>, arrival_no long"
+    table = BucketedTable(spark, scratch(spark, "t"), 3, materialise.entity_kind("PROCINST"))
+    for k in range(4):
+        part = spark.createDataFrame(rows[k * 50 : k * 50 + 50], schema)
+        version = table.apply(part, ("stream", k))
+        assert table.apply(part, ("stream", k)) == version
+    got = materialise.entity_rows(table.read(), "PROCINST")
+    want = materialise.merge_class(spark.createDataFrame(rows, schema), "PROCINST")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_pipeline_keeps_what_it_cannot_write(spark):
     """Unknown classes, classes not handled and empty bodies: written somewhere after every run, and dead in the end."""
     root = scratch(spark, "p")
