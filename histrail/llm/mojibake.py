@@ -226,6 +226,11 @@ class PairModel:
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         return np.where(self.codes[at] == codes, self.scores[at], 8.0)
 
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.zeros(codes.shape, dtype=bool)
+        return self.codes[np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)] == codes
+
     def knows(self, c: str) -> bool:
         return ord(c) in self.left or ord(c) in self.right
 
@@ -362,7 +367,7 @@ class Restorer:
         self.model = model
         self.known: dict[tuple[str, str, str], _Look] = {}
         self.columns: dict[str, np.ndarray] = {}
-        self.gained: dict[tuple[str, str, str], np.ndarray] = {}
+        self.gained: dict[tuple[str, str, str], tuple[np.ndarray, float]] = {}
 
     def _look(self, p: _Piece, key: tuple[str, str, str]) -> _Look:
         """What a piece's surroundings alone decide."""
@@ -390,6 +395,8 @@ class Restorer:
             inner = []
             for text, whole in layers:
                 for e in READ_AS:
+                    if not _SEQUENCE[e].search(text):
+                        continue
                     new = _as_utf8(text, e)
                     if new in seen:
                         continue
@@ -416,10 +423,12 @@ class Restorer:
             got = self.columns[c] = np.array([v if fine[v] else 0 for v in every.tolist()], dtype=np.int64) if c >= "\x80" else every
         return got
 
-    def _gains(self, p: _Piece) -> np.ndarray:
-        """The bits that each exchange table gains on the piece; 0 where it is impossible or changes nothing."""
-        got = self.gained.get(p.key)
-        if got is None:
+    def _gains(self, p: _Piece, key: tuple[str, str, str]) -> tuple[np.ndarray, float]:
+        """The bits that each exchange table gains on the piece, 0 where it is impossible or changes nothing; and the most that
+        one of them gains that makes nothing but pairs of the corpus."""
+        held = self.gained.get(key)
+        if held is None:
+            most = 0.0
             new = np.stack([self._column(c) for c in p.text], axis=1)
             possible = (new > 0).all(1)
             # tables that do the same to these characters are scored once
@@ -431,14 +440,23 @@ class Restorer:
                 around = [np.tile(_points(x), (len(rows), 1)) for x in (p.before, p.after)]
                 gain = self.model.bits(np.concatenate([around[0], rows, around[1]], axis=1)).sum(1) - self.model.bits(_points(p.with_(p.text))[None]).sum()
                 got[possible] = gain.astype(np.float32)[same[possible]]
+                points = np.concatenate([around[0], rows, around[1]], axis=1)
+                points = np.where((points >= 48) & (points <= 57), 48, points)
+                pairs = (points[:, :-1] << 32) | points[:, 1:]
+                own = ((points[:, :-1] < 128) & (points[:, 1:] < 128)) | self.model.has(pairs)
+                most = float(np.where(own.all(1), gain, 0.0).max(initial=0.0))
             if len(self.gained) > MOST_GAINS:
                 self.gained.clear()
-            self.gained[p.key] = got
-        return got
-
-    def _exchange(self, pieces: list[_Piece]) -> dict[int, str]:
-        """The pieces (by number) that one exchange of bytes restores, the best for all of them together; empty if none holds."""
-        gain = np.stack([self._gains(p) for p in pieces], axis=1)
+            held = self.gained[key] = (got, most)
+        return held
+
+    def _exchange(self, pieces: list[_Piece], keys: list[tuple[str, str, str]], odd: bool) -> dict[int, str]:
+        """The pieces (by number) that one exchange of bytes restores, the best for all of them together; empty if none holds.
+        Without ``odd`` characters it must make the corpus's own pairs, so what those gain has to suffice."""
+        each = [self._gains(p, k) for p, k in zip(pieces, keys, strict=True)]
+        if not odd and sum(most for _, most in each) <= LEAST_GAIN + log2(len(_EXCHANGE)):
+            return {}
+        gain = np.stack([g for g, _ in each], axis=1)
         margin = LEAST_GAIN + log2(len(_EXCHANGE))
         was_odd = np.array([p.odd(p.text) for p in pieces])
         letters = np.array([all(c < "\x80" or _kind(c)[0] in "LM" for c in p.text) for p in pieces])
@@ -504,11 +522,12 @@ class Restorer:
         if new_of or (likely and len(set().union(*(found[k].places for k in likely))) >= AGREEING):
             new_of |= likely
         rest = [k for k in found if k not in new_of and LOST not in k[1]]
-        if not any(found[k].odd for k in rest):  # then only letters may become letters
+        odd = any(found[k].odd for k in rest)
+        if not odd:  # then only letters may become letters
             rest = [k for k in rest if found[k].letters]
             rest = rest if rest and len(set().union(*(found[k].places for k in rest))) >= AGREEING else []
         while rest:
-            got = self._exchange([pieces[alike[k][0]] for k in rest])
+            got = self._exchange([pieces[alike[k][0]] for k in rest], rest, odd)
             if not got:
                 break
             new_of |= {rest[n]: t for n, t in got.items()}
