@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
+from .ordered import numbered
 
 
 def acquire(payloads: DataFrame, content: str, arrival: str) -> DataFrame:
     """Adds ``content_hash``, ``ref_count_after`` and ``newly_stored`` to a log of stores: the n-th writer of a content sees a
     count of n, the first one stores it. The content itself isn't carried through the shuffle."""
     hashed = payloads.withColumn("content_hash", F.sha2(content, 256)).drop(content)
-    n = F.row_number().over(Window.partitionBy("content_hash").orderBy(arrival))
-    return hashed.withColumn("ref_count_after", n.cast("int")).withColumn("newly_stored", F.col("ref_count_after") == 1)
+    return numbered(hashed, ["content_hash"], [arrival], "ref_count_after").withColumn("ref_count_after", F.col("ref_count_after").cast("int")).withColumn("newly_stored", F.col("ref_count_after") == 1)
 
 
 def stored(payloads: DataFrame, content: str, key: str) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import CLASSES, COLUMN_DEFAULTS, wire_keys_for
 from .changes import Kind
+from .ordered import max_before, numbered
 
 
 def typed(column: Column, kind: str) -> Column:
@@ -21,9 +22,9 @@ def typed(column: Column, kind: str) -> Column:
 
 def outcomes(events: DataFrame, key: Sequence[str], sequence: str, arrival: str) -> DataFrame:
     """Adds ``outcome``: APPLIED when the sequence is above all that arrived before for the key, else STALE_DISCARDED."""
-    w = Window.partitionBy(*key).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.max(sequence).over(w)
-    return events.withColumn("outcome", F.when(before.isNull() | (F.col(sequence) > before), "APPLIED").otherwise("STALE_DISCARDED"))
+    before = F.col("__before")
+    known = max_before(events, key, [arrival], sequence, "__before")
+    return known.withColumn("outcome", F.when(before.isNull() | (F.col(sequence) > before), "APPLIED").otherwise("STALE_DISCARDED")).drop("__before")
 
 
 def merge_entities(events: DataFrame, key: Sequence[str], columns: Sequence[tuple[str, str]], keys_of: dict[str, list[str]] | None = None, *, sequence: str = "stream_sequence", arrival: str = "arrival_no", time: str = "event_time", fields: str = "fields") -> DataFrame:
@@ -85,9 +86,7 @@ def entity_kind(history_class: str) -> Kind:
         if base is not None:
             every = base.withColumn("__new", F.lit(0)).unionByName(every)
         key = ["__bucket", "engine_id", "entity_key"]
-        earlier = Window.partitionBy(*key).orderBy("__new", "arrival_no").rowsBetween(Window.unboundedPreceding, -1)
-        before = F.max("stream_sequence").over(earlier)
-        applied = every.withColumn("__before", before).filter(F.col("__before").isNull() | (F.col("stream_sequence") > F.col("__before")))
+        applied = max_before(every, key, ["__new", "arrival_no"], "stream_sequence", "__before").filter(F.col("__before").isNull() | (F.col("stream_sequence") > F.col("__before")))
         has = {n: F.map_contains_key("values", n) for n, _ in columns}
         last = [F.max_by(F.struct(F.try_element_at("values", F.lit(n)).alias("v")), F.when(h, F.col("stream_sequence"))).alias(f"__v_{n}") for n, h in has.items()]
         there = [F.max(h).alias(f"__h_{n}") for n, h in has.items()]
@@ -112,8 +111,7 @@ def entity_rows(stored: DataFrame, history_class: str) -> DataFrame:
 
 def append_log(events: DataFrame, key: Sequence[str] = ("engine_id", "history_event_id", "event_type", "event_time"), arrival: str = "arrival_no") -> DataFrame:
     """Adds ``outcome``: the first event of a key to arrive is APPLIED, the others DEDUP_SKIPPED."""
-    w = Window.partitionBy(*key).orderBy(arrival)
-    return events.withColumn("outcome", F.when(F.row_number().over(w) == 1, "APPLIED").otherwise("DEDUP_SKIPPED"))
+    return numbered(events, key, [arrival], "__nth").withColumn("outcome", F.when(F.col("__nth") == 1, "APPLIED").otherwise("DEDUP_SKIPPED")).drop("__nth")
 
 
 def first_of(events: DataFrame, key: Sequence[str], arrival: str) -> DataFrame:
