@@ -70,12 +70,12 @@ def test_late_copies_after_expiry(spark):
     assert {(r.message_id, r.arrival_no) for r in X.current_first(spark, root).collect()} == {(m, min(x[2] for x in rows if x[1] == m)) for m in {x[1] for x in rows}}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1])
 def test_copies_far_apart_in_time(spark, seed):
     """Copies of one message are stamped months apart, before and after its state has expired, over many batches."""
     r = random.Random(seed)
     root, rows = scratch(spark, "x"), []
-    for b in range(6):
+    for b in range(5):
         batch = [("a", f"m{r.randrange(12)}", r.randrange(10_000), T0 + timedelta(days=30 * b + r.choice([0, 0, 1, -400, 20]))) for _ in range(15)]
         batch = [x for k, x in enumerate(batch) if x[2] not in {y[2] for y in batch[:k] + rows}]
         rows += batch
